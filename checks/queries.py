@@ -193,7 +193,7 @@ def anchor_terms(spark, sf_dir):
 
 @register
 def query_terms(spark, sf_dir):
-    return rank.query_terms(fx.benchmark_queries(spark, sf_dir), "simple")
+    return rank.query_terms(fx.benchmark_queries(spark, sf_dir), "simple").drop("term_no")
 
 
 @register
@@ -243,7 +243,7 @@ def bm25_stemmed(spark, sf_dir):
 @register
 def tfidf_query_vector(spark, sf_dir):
     vector = rank.query_vector(body_index(spark, sf_dir), fx.benchmark_queries(spark, sf_dir))
-    return rounded(vector, "q_weight")
+    return rounded(vector.drop("term_no"), "q_weight")
 
 
 @register

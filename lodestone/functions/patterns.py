@@ -52,8 +52,12 @@ TOKEN_CLASSES = {
     # up to and with the apostrophe part; up to the end of the hyphenated run; and, where a percent sign
     # follows, back to the last hyphen.
     "word": r"(?<![\-\w])(?:\w[\w\-]*+'\w*+(?!\%)|\w[\w\-]*+(?!\%)|\w[\w\-]*(?=\-\w*+\%))",
-    # A tag, whose “…” and '…’ parts may hold a >; else a tag in which “ is an ordinary character.
-    "html": r"<(?:“[^”]*+”|'[^’]*+’|[^'”>])*+>|<(?:'[^’]*+’|[^'”>])*+>",
+    # A tag, whose “…” and '…’ parts may hold a >; from a “ that is never closed on, “ is an ordinary character.
+    # Where that finds no end, a tag in which every “ is an ordinary character.
+    "html": (
+        r"<(?:[^'“”>]++|“[^”]*+”|'[^’]*+’)*+(?:“(?:[^'”>]++|'[^’]*+’)*+)?+>"
+        r"|<(?:[^'”>]++|'[^’]*+’)*+>"
+    ),
 }
 
 RICH_TOKEN = "|".join(TOKEN_CLASSES.values())

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.session import stage, stage_partitioned
+from lodestone.session import stage, stage_bucketed
 
 
 def link_graph(pages: DataFrame, staged: bool = True) -> tuple[DataFrame, DataFrame]:
@@ -46,7 +46,7 @@ def pagerank(
     bounds what a lost executor costs.
     """
     degrees = edges.groupBy("src").agg(F.count("*").alias("degree"))
-    nodes = stage_partitioned(
+    nodes = stage_bucketed(
         vertices.select("id")
         .join(degrees.withColumnRenamed("src", "id"), "id", "left")
         .select(
@@ -58,7 +58,7 @@ def pagerank(
     )
     wide = nodes.where(F.col("parts") > 1).select(F.col("id").alias("src"), "parts")
     part = F.coalesce(F.pmod(F.xxhash64("dst"), F.col("parts")), F.lit(0).cast("long"))
-    links = stage_partitioned(
+    links = stage_bucketed(
         edges.join(wide, "src", "left").select("src", "dst", part.alias("part")), "src", "part"
     )
 

@@ -84,6 +84,7 @@ def build_index(
     counted = termstats.fragment_terms(docs, analyzer) if fragments else termstats.doc_terms(docs, analyzer)
     counted = keep(counted, "doc-terms")
     terms = keep(termstats.dictionary(counted, min_df), "terms")
-    lengths = keep(termstats.doc_lengths(counted), "lengths")
-    stats = keep(doc_norms(counted, terms, lengths), "doc-norms") if norms else lengths
-    return Index(analyzer, keep_terms(counted, terms, min_df), terms, stats, termstats.collection_stats(lengths))
+    stats = termstats.doc_lengths(counted)
+    if norms:
+        stats = keep(doc_norms(counted, terms, stats), "doc-norms")
+    return Index(analyzer, keep_terms(counted, terms, min_df), terms, stats, termstats.collection_stats(stats))

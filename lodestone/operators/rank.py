@@ -1,8 +1,9 @@
 """Ranking a whole table of queries against an index.
 
 Every ranker returns ``(query_id, doc_id, score, first_term)`` for all documents that share a term with the
-query; ``first_term`` is the smallest matching term and settles ties. :func:`top_k` cuts, :func:`rank_all`
-numbers everything.
+query. ``first_term`` settles ties: it is the smallest matching term, by its number among the query's sorted
+terms, as numbers are aggregated by hash and strings only by sorting. :func:`top_k` cuts, :func:`rank_all` numbers
+everything.
 """
 
 from __future__ import annotations
@@ -19,9 +20,10 @@ QUERY_SMOOTHING = 1e-7
 
 
 def query_terms(queries: DataFrame, analyzer) -> DataFrame:
-    """``(query_id, text)`` -> ``(query_id, term, q_tf, q_len)``; the length counts repeats and unknown words."""
-    return counted_tokens(queries.select("query_id", "text"), "text", analyzer).select(
-        "query_id", "term", F.col("tf").alias("q_tf"), F.col("n_tokens").alias("q_len")
+    """``(query_id, text)`` -> ``(query_id, term, term_no, q_tf, q_len)``; the length counts repeats and unknown
+    words."""
+    return counted_tokens(queries.select("query_id", "text"), "text", analyzer, numbered=True).select(
+        "query_id", "term", "term_no", F.col("tf").alias("q_tf"), F.col("n_tokens").alias("q_len")
     )
 
 
@@ -58,7 +60,7 @@ def term_bucket(term: Column, n_buckets: int) -> Column:
 
 def _score(pairs: DataFrame, value: Column, kind: str = "double") -> DataFrame:
     return pairs.groupBy("query_id", "doc_id").agg(
-        F.sum(value).cast(kind).alias("score"), F.min("term").alias("first_term")
+        F.sum(value).cast(kind).alias("score"), F.min("term_no").alias("first_term")
     )
 
 
@@ -89,7 +91,7 @@ def bm25(
         n_docs, avg_len = lengths.agg(F.count("*")).scalar(), lengths.agg(F.avg("doc_len")).scalar()
     if length_norm == "zero":
         doc_len = F.lit(0)
-    q_terms = q_terms.select("query_id", "term", "df", bm25_idf(n_docs, F.col("df")).alias("idf"))
+    q_terms = q_terms.select("query_id", "term", "term_no", "df", bm25_idf(n_docs, F.col("df")).alias("idf"))
     pairs = candidates(index, q_terms, salt_rows)
     if lengths is not None:
         pairs = pairs.drop("doc_len").join(lengths, "doc_id")
@@ -97,9 +99,9 @@ def bm25(
 
 
 def query_vector(index: Index, queries: DataFrame) -> DataFrame:
-    """``(query_id, term, df, q_weight)``: TF-IDF weights of the query words in the dictionary."""
+    """``(query_id, term, term_no, df, q_weight)``: TF-IDF weights of the query words in the dictionary."""
     weight = tfidf(F.col("q_tf"), F.col("q_len"), index.n_docs, F.col("df"), QUERY_SMOOTHING)
-    return known_query_terms(index, queries).select("query_id", "term", "df", weight.alias("q_weight"))
+    return known_query_terms(index, queries).select("query_id", "term", "term_no", "df", weight.alias("q_weight"))
 
 
 def tfidf_cosine(index: Index, queries: DataFrame, salt_rows: int | None = None) -> DataFrame:
@@ -115,7 +117,7 @@ def tfidf_cosine(index: Index, queries: DataFrame, salt_rows: int | None = None)
         .agg(
             F.sum(weight * F.col("q_weight")).alias("dot"),
             F.first("q_norm").alias("q_norm"),
-            F.min("term").alias("first_term"),
+            F.min("term_no").alias("first_term"),
         )
     )
     score = ratio(F.col("dot"), F.col("q_norm") * F.col("norm")).alias("score")
@@ -129,14 +131,14 @@ def match_count(
 ) -> DataFrame:
     """Number of distinct query words in the document. ``normalize`` divides it by the norms of the binary
     query vector and of the document."""
-    q_terms = known_query_terms(index, queries).select("query_id", "term", "df")
+    q_terms = known_query_terms(index, queries).select("query_id", "term", "term_no", "df")
     if not normalize:
         return _score(candidates(index, q_terms, salt_rows), F.lit(1), "long")
     q_terms = q_terms.withColumn("q_norm", F.sqrt(F.count("*").over(Window.partitionBy("query_id"))))
     counts = (
         candidates(index, q_terms, salt_rows)
         .groupBy("query_id", "doc_id")
-        .agg(F.count("*").alias("n"), F.first("q_norm").alias("q_norm"), F.min("term").alias("first_term"))
+        .agg(F.count("*").alias("n"), F.first("q_norm").alias("q_norm"), F.min("term_no").alias("first_term"))
     )
     score = ratio(F.col("n"), F.col("q_norm") * F.col("norm")).alias("score")
     return counts.join(index.doc_stats.select("doc_id", "norm"), "doc_id").select(

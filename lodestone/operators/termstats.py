@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from lodestone.functions.analyzers import Analyzer, analyzer
 
 
-def counted_tokens(df: DataFrame, text: str, spec: str | Analyzer) -> DataFrame:
+def counted_tokens(df: DataFrame, text: str, spec: str | Analyzer, numbered: bool = False) -> DataFrame:
     """Per row: the other columns, ``n_tokens``, and one output row per distinct token with its count.
-    Rows without a token give nothing."""
+    Rows without a token give nothing. ``numbered`` adds ``term_no``, the place of the token in sorted order."""
     rest = [c for c in df.columns if c != text]
     tokens = df.select(*rest, F.sort_array(analyzer(spec)(F.col(text))).alias("_sorted"))
     size = F.size("_sorted")  # a null or empty array has no runs
@@ -29,6 +29,7 @@ def counted_tokens(df: DataFrame, text: str, spec: str | Analyzer) -> DataFrame:
         lambda at, k: F.struct(
             F.get(F.col("_sorted"), at).alias("term"),
             (F.coalesce(F.get(F.col("_starts"), k + 1), size) - at).cast("long").alias("tf"),
+            *([k.alias("term_no")] if numbered else []),
         ),
     )
     return starts.select(*rest, size.cast("long").alias("n_tokens"), F.inline(runs))

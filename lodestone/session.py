@@ -50,10 +50,17 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def stage_partitioned(df: DataFrame, *keys: str) -> DataFrame:
-    """Checkpoint a frame hash-partitioned and sorted by ``keys``. Spark remembers that layout, so joins and
-    aggregations on the keys read it without a shuffle."""
+def stage_bucketed(df: DataFrame, *keys: str) -> DataFrame:
+    """Like :func:`stage`, hashed by ``keys`` into as many buckets as the session has shuffle partitions, so that
+    joins and aggregations on the keys read it without a shuffle.
+
+    Bucketing needs a table name. It is given up again once the table is resolved; the files stay.
+    """
     spark = df.sparkSession
-    spark.sparkContext.setCheckpointDir(scratch_dir(spark))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, *keys).sortWithinPartitions(*keys).checkpoint()
+    name = f"lodestone_{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark)}/{name}"
+    df.repartition(n, *keys).write.bucketBy(n, *keys).sortBy(*keys).option("path", path).saveAsTable(name)
+    staged = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return staged
