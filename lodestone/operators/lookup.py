@@ -6,13 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def fetch(rows: DataFrame, table: DataFrame, key: str, value: str, default=None) -> DataFrame:
+def fetch(
+    rows: DataFrame, table: DataFrame, key: str, value: str, default=None, asked: DataFrame | None = None
+) -> DataFrame:
     """Left join of one value of a table with one row per key.
 
     The table may cover the whole corpus while few of its keys are asked for. An outer join could not broadcast
-    the asking side, so the table is first reduced to those keys by a semi join, which can.
+    the asking side, so the table is first reduced to those keys by a semi join, which can. ``asked`` are the
+    distinct keys, if at hand in a cheaper form than ``rows``.
     """
-    asked = rows.select(key).distinct()
+    asked = rows.select(key).distinct() if asked is None else asked
     hits = table.select(key, value).join(asked, key, "left_semi")
     joined = rows.join(hits, key, "left")
     return joined if default is None else joined.withColumn(value, F.coalesce(F.col(value), F.lit(default)))

@@ -16,7 +16,8 @@ from lodestone.operators.index import Index
 from lodestone.operators.termstats import combined_lengths, counted_tokens
 from lodestone.session import stage
 
-QUERY_SMOOTHING = 1e-7
+QUERY_SMOOTHING = 1e-7  # fixed value: added to df in the weights of query words
+PUSHED_TERMS = 64
 
 
 def query_terms(queries: DataFrame, analyzer) -> DataFrame:
@@ -35,15 +36,24 @@ def known_query_terms(index: Index, queries: DataFrame) -> DataFrame:
 def candidates(index: Index, q_terms: DataFrame, salt_rows: int | None = None) -> DataFrame:
     """Postings of the query terms: q_terms joined with postings on term.
 
-    Spark broadcasts the query terms when their measured size allows; on a stored index that also prunes the
-    buckets that no query term falls in. Larger batches meet by shuffle, where adaptive execution splits
-    skewed terms. With ``salt_rows`` the split is explicit instead: a term in more than that many documents is
-    divided by document into ``ceil(df / salt_rows)`` parts, each of which gets its own copy of the query rows.
+    The query terms are written first, so that their size is known when the join is planned: if it is below
+    ``spark.sql.autoBroadcastJoinThreshold`` they are broadcast and the postings are read in place, without the
+    shuffle that an unknown size would start. Up to ``PUSHED_TERMS`` different terms also become a filter of the
+    scan, which on a stored index leaves only their buckets, and in these the row groups that may hold them.
+
+    Larger batches meet by shuffle, where adaptive execution splits skewed terms. With ``salt_rows`` the split is
+    explicit: a term in more than that many documents is divided by document into ``ceil(df / salt_rows)`` parts,
+    each of which gets its own copy of the query rows.
     """
     postings, keys = index.postings, ["term"]
     if index.n_buckets:
         q_terms = q_terms.withColumn("bucket", term_bucket(F.col("term"), index.n_buckets))
         keys.append("bucket")
+    q_terms = stage(q_terms, "query-terms")
+    few = q_terms.select(*keys).distinct().limit(PUSHED_TERMS + 1).collect()
+    if len(few) <= PUSHED_TERMS:
+        for key in keys:
+            postings = postings.where(F.col(key).isin(sorted({row[key] for row in few})))
     if salt_rows:
         parts = F.ceil(F.col("df") / salt_rows)
         frequent = index.terms.where(F.col("df") > salt_rows).select("term", parts.alias("parts"))
@@ -151,16 +161,21 @@ def _order(scored: DataFrame) -> list[Column]:
     return [F.desc("score")] + [F.asc(c) for c in ties if c in scored.columns]
 
 
+def _kept(scored: DataFrame) -> list[str]:
+    return ["title"] if "title" in scored.columns else []
+
+
 def top_k(scored: DataFrame, k: int, digits: int | None = None) -> DataFrame:
-    """``(query_id, rank, doc_id, score)`` of the best k per query. Each task first cuts its own rows to k per
-    query, so what is shuffled is small even if one query has most of the rows. ``digits`` rounds first."""
+    """``(query_id, rank, doc_id, score)``, and a title if there is one, of the best k per query. Each task first
+    cuts its own rows to k per query, so what is shuffled is small even if one query has most of the rows.
+    ``digits`` rounds first."""
     if digits is not None:
         scored = scored.withColumn("score", F.round("score", digits))
     by_query = Window.partitionBy("query_id").orderBy(*_order(scored))
     return (
         scored.withColumn("rank", F.row_number().over(by_query))
         .where(F.col("rank") <= k)
-        .select("query_id", F.col("rank").cast("long").alias("rank"), "doc_id", "score")
+        .select("query_id", F.col("rank").cast("long").alias("rank"), "doc_id", "score", *_kept(scored))
     )
 
 

@@ -21,7 +21,12 @@ BLEND_WEIGHTS = (0.6, 0.2, 0.2)  # fixed values: text score, PageRank, page view
 
 def with_titles(results: DataFrame, titles: DataFrame) -> DataFrame:
     """Add the title, null where there is none."""
-    return fetch(results, titles, "doc_id", "title")
+    return results.join(titles.select("doc_id", "title"), "doc_id", "left")
+
+
+def _best_with_titles(best: DataFrame, titles: DataFrame) -> DataFrame:
+    """The same for a top k: written first, so that the few titles are looked up instead of shuffling all."""
+    return fetch(stage(best, "best"), titles, "doc_id", "title")
 
 
 def search(
@@ -44,23 +49,26 @@ def search(
     ]
     # at most k rows per query, read several times below
     merged = stage(merge_results(best, [field_weights[f] for f in fields], k), "merged")
-    merged = fetch(merged, pagerank.withColumnRenamed("id", "doc_id"), "doc_id", "pagerank", 0.0)
-    merged = fetch(merged, page_views.withColumnRenamed("id", "doc_id"), "doc_id", "views", 0)
+    ids = merged.select("doc_id").distinct()
+    merged = fetch(merged, titles, "doc_id", "title", asked=ids)
+    merged = fetch(merged, pagerank.withColumnRenamed("id", "doc_id"), "doc_id", "pagerank", 0.0, asked=ids)
+    merged = fetch(merged, page_views.withColumnRenamed("id", "doc_id"), "doc_id", "views", 0, asked=ids)
     for score in ("score", "pagerank", "views"):
         merged = min_max(merged, score, cut=True)
     text, rank, views = (F.lit(float(w)) for w in blend_weights)
     blended = merged.select(
         "query_id",
         "doc_id",
+        "title",
         F.col("rank").alias("prev_rank"),
         (F.col("score") * text + F.col("pagerank") * rank + F.col("views") * views).alias("score"),
     )
-    return with_titles(top_k(blended, k), titles)
+    return top_k(blended, k)
 
 
 def search_body(index: Index, queries: DataFrame, titles: DataFrame, k: int = 100) -> DataFrame:
     """TF-IDF cosine similarity; the index is built with norms."""
-    return with_titles(top_k(tfidf_cosine(index, queries), k, SCORE_DIGITS), titles)
+    return _best_with_titles(top_k(tfidf_cosine(index, queries), k, SCORE_DIGITS), titles)
 
 
 def search_title(index: Index, queries: DataFrame, titles: DataFrame, normalize: bool = False) -> DataFrame:
