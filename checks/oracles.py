@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from checks import porter_sql
 from checks.fixtures import LINK, MIN_DF_BODY, SAMPLE_TERMS, TITLE
 from lodestone.functions.patterns import SIMPLE_TOKEN, TOKEN_CLASSES, spark_pattern
 from lodestone.functions.words import STOPWORDS
@@ -41,12 +42,19 @@ SELECT {key}, list_filter(regexp_extract_all(lower(text), {SIMPLE}), lambda t: t
 FROM ({source})"""
 
 
-def index(p: str, source: str, min_df: int = 0) -> str:
+def stems(*sources: tuple[str, str]) -> str:
+    """CTE stem_of(term, stem) for the words of the sources."""
+    words = " UNION ".join(f"SELECT DISTINCT unnest(toks) AS term FROM ({tokens(s, key)})" for s, key in sources)
+    return porter_sql.stem_ctes(words)
+
+
+def index(p: str, source: str, min_df: int = 0, stemmed: bool = False) -> str:
     """CTEs {p}_tf, {p}_len, {p}_terms, {p}_meta, {p}_norm."""
+    words = f"SELECT doc_id, unnest(toks) AS term FROM ({tokens(source)})"
+    if stemmed:
+        words = f"SELECT doc_id, stem AS term FROM ({words}) JOIN stem_of USING (term)"
     return f"""
-{p}_tf AS (
-  SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(toks) AS term FROM ({tokens(source)}))
-  GROUP BY doc_id, term),
+{p}_tf AS (SELECT doc_id, term, count(*) AS tf FROM ({words}) GROUP BY doc_id, term),
 {p}_len AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS doc_len FROM {p}_tf GROUP BY doc_id),
 {p}_terms AS (
   SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS term_total FROM {p}_tf
@@ -60,14 +68,15 @@ def index(p: str, source: str, min_df: int = 0) -> str:
     GROUP BY t.doc_id) n USING (doc_id))"""
 
 
-def asked(source: str = QUERIES) -> str:
+def asked(source: str = QUERIES, stemmed: bool = False) -> str:
     """CTE q: query_id, term, q_tf, q_len."""
+    words = "SELECT query_id, len(toks) AS q_len, unnest(toks) AS term FROM q_toks"
+    if stemmed:
+        words = f"SELECT query_id, q_len, stem AS term FROM ({words}) JOIN stem_of USING (term)"
     return f"""
 q_toks AS ({tokens(source, "query_id")}),
 q AS (
-  SELECT query_id, term, count(*) AS q_tf, any_value(q_len) AS q_len
-  FROM (SELECT query_id, len(toks) AS q_len, unnest(toks) AS term FROM q_toks)
-  GROUP BY query_id, term)"""
+  SELECT query_id, term, count(*) AS q_tf, any_value(q_len) AS q_len FROM ({words}) GROUP BY query_id, term)"""
 
 
 def bm25(p: str, lengths: str | None = None, doc_len: str = "l.doc_len") -> str:
@@ -212,6 +221,11 @@ FROM ({ranked("m_count", "score DESC, first_term, doc_id")}) r LEFT JOIN ({title
     return {
         "tokenize_simple": f"""
 SELECT doc_id, unnest(toks) AS term, unnest(range(len(toks))) AS pos FROM ({tokens(BODIES)})""",
+        "tokenize_simple_stem": f"""WITH {stems((BODIES, "doc_id"))}
+SELECT doc_id, stem AS term, pos
+FROM (SELECT doc_id, unnest(toks) AS term, unnest(range(len(toks))) AS pos FROM ({tokens(BODIES)}))
+JOIN stem_of USING (term)""",
+        "stem_terms": f"WITH {stems((BODIES, 'doc_id'))} SELECT term, stem FROM stem_of",
         "pattern_classes": f"""WITH texts AS ({PATTERN_TEXTS})
 SELECT kind, id, token_class, value, count(*) AS n FROM ({patterns()}) GROUP BY ALL""",
         "term_freq": f"WITH {body_all} SELECT doc_id, term, tf FROM body_tf",
@@ -254,6 +268,8 @@ both_len AS (
   SELECT doc_id, sum(doc_len) AS doc_len FROM (SELECT * FROM body_len UNION ALL SELECT * FROM title_len)
   GROUP BY doc_id),
 {bm25("title", "both_len")} {scores} title_bm25""",
+        "bm25_stemmed": f"""WITH {stems((BODIES, "doc_id"), (QUERIES, "query_id"))},
+{index("body", BODIES, MIN_DF_BODY, stemmed=True)}, {asked(stemmed=True)}, {bm25("body")} {scores} body_bm25""",
         "tfidf_query_vector": f"""WITH {body}, {q}, {vector("body")}
 SELECT query_id, term, df, round(q_weight, 5) AS q_weight FROM body_vec""",
         "tfidf_cosine": f"WITH {body}, {q}, {cosine('body')} {scores} body_cos",
