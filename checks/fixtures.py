@@ -34,7 +34,7 @@ def bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def first_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return docs.select("doc_id", F.substring_index("text", "\n", 1).alias("text"))
+    return spread(docs.select("doc_id", F.substring_index("text", "\n", 1).alias("text")), "doc_id")
 
 
 def first_line_titles(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -210,9 +210,24 @@ def oracle_sql() -> dict[str, str]:
     scores = "SELECT query_id, doc_id, round(score, 5) AS score FROM "
     both = f"""WITH {title}, {body}, {q}, {bm25("title")}, {bm25("body")},
 {best("title_best", "title_bm25", 100)}, {best("body_best", "body_bm25", 100)}"""
-    both10 = f"""WITH {title}, {body}, {q}, {bm25("title")}, {bm25("body")},
+    both10 = f"""{title}, {body}, {q}, {bm25("title")}, {bm25("body")},
 {best("title_best", "title_bm25", 10)}, {best("body_best", "body_bm25", 10)}"""
 
+    def search(ctes: str) -> str:
+        return f"""WITH {ctes}, {merged("m", 10)}, {part_ranks()},
+priors AS (
+  SELECT m.query_id, m.rank AS prev_rank, m.doc_id, m.score AS text_score,
+         coalesce(p.pagerank, 0) AS pagerank, coalesce(v.views, 0) AS views
+  FROM m LEFT JOIN part_rank p ON p.id = m.doc_id LEFT JOIN ({VIEWS}) v ON v.id = m.doc_id),
+{scaled("s1", "(SELECT query_id, doc_id, text_score AS score FROM priors)")},
+{scaled("s2", "(SELECT query_id, doc_id, pagerank AS score FROM priors)")},
+{scaled("s3", "(SELECT query_id, doc_id, views AS score FROM priors)")},
+blended AS (
+  SELECT query_id, doc_id, prev_rank, s1.score * 0.6 + s2.score * 0.2 + s3.score * 0.2 AS score
+  FROM priors JOIN s1 USING (query_id, doc_id) JOIN s2 USING (query_id, doc_id) JOIN s3 USING (query_id, doc_id))
+SELECT r.query_id, r.rank, r.doc_id, round(r.score, 5) AS score, t.text AS title
+FROM ({ranked("blended", "score DESC, prev_rank, doc_id")}) r LEFT JOIN ({FIRST_LINES}) t USING (doc_id)"""
+
     def matches(docs: str, queries: str, titles: str) -> str:
         return f"""WITH {index("m", docs)}, {asked(queries)}, {counts("m")}
 SELECT r.query_id, r.rank, r.doc_id, r.score, t.title
@@ -300,19 +315,12 @@ FROM (SELECT query_id, doc_id, score * 0.6 AS score FROM body_s
       UNION ALL SELECT query_id, doc_id, score * 0.2 FROM title_s
       UNION ALL SELECT query_id, doc_id, score * 0.2 FROM views_s)
 GROUP BY query_id, doc_id""",
-        "search": f"""{both10}, {merged("m", 10)}, {part_ranks()},
-priors AS (
-  SELECT m.query_id, m.rank AS prev_rank, m.doc_id, m.score AS text_score,
-         coalesce(p.pagerank, 0) AS pagerank, coalesce(v.views, 0) AS views
-  FROM m LEFT JOIN part_rank p ON p.id = m.doc_id LEFT JOIN ({VIEWS}) v ON v.id = m.doc_id),
-{scaled("s1", "(SELECT query_id, doc_id, text_score AS score FROM priors)")},
-{scaled("s2", "(SELECT query_id, doc_id, pagerank AS score FROM priors)")},
-{scaled("s3", "(SELECT query_id, doc_id, views AS score FROM priors)")},
-blended AS (
-  SELECT query_id, doc_id, prev_rank, s1.score * 0.6 + s2.score * 0.2 + s3.score * 0.2 AS score
-  FROM priors JOIN s1 USING (query_id, doc_id) JOIN s2 USING (query_id, doc_id) JOIN s3 USING (query_id, doc_id))
-SELECT r.query_id, r.rank, r.doc_id, round(r.score, 5) AS score, t.text AS title
-FROM ({ranked("blended", "score DESC, prev_rank, doc_id")}) r LEFT JOIN ({FIRST_LINES}) t USING (doc_id)""",
+        "search": search(both10),
+        "search_stemmed": search(
+            f"""{stems((BODIES, "doc_id"), (QUERIES, "query_id"))}, {index("title", FIRST_LINES, stemmed=True)},
+{index("body", BODIES, MIN_DF_BODY, stemmed=True)}, {asked(stemmed=True)}, {bm25("title")}, {bm25("body")},
+{best("title_best", "title_bm25", 10)}, {best("body_best", "body_bm25", 10)}"""
+        ),
         "link_edges": f"SELECT DISTINCT id AS src, target AS dst FROM ({LINKS})",
         "link_vertices": f"SELECT CAST(page_id AS VARCHAR) AS id FROM pages UNION SELECT target FROM ({LINKS})",
         "pagerank": f"WITH {part_ranks()} SELECT id, pagerank FROM part_rank",

@@ -335,6 +335,11 @@ def search(spark, sf_dir):
 
 @register
 def search_stemmed(spark, sf_dir):
+    return _search(spark, sf_dir, "simple_stem", "simple_stem")
+
+
+@register
+def search_rich_titles(spark, sf_dir):
     return _search(spark, sf_dir, "simple_stem", "rich_stem")
 
 

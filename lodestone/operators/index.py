@@ -72,7 +72,8 @@ def build_index(
     fragments: bool = False,
     stage: bool = True,
 ) -> Index:
-    """Build an index over ``(doc_id, text)``.
+    """Build an index over ``(doc_id, text)``. With an analyzer such as ``lambda tokens: tokens`` the text column may
+    already be token arrays.
 
     min_df: keep terms found in more than this many documents; lengths still count the dropped ones
     norms: also compute document norms, for TF-IDF cosine ranking
@@ -87,4 +88,5 @@ def build_index(
     stats = termstats.doc_lengths(counted)
     if norms:
         stats = keep(doc_norms(counted, terms, stats), "doc-norms")
-    return Index(analyzer, keep_terms(counted, terms, min_df), terms, stats, termstats.collection_stats(stats))
+    meta = keep(termstats.collection_stats(stats), "meta")
+    return Index(analyzer, keep_terms(counted, terms, min_df), terms, stats, meta)

@@ -167,8 +167,10 @@ def _kept(scored: DataFrame) -> list[str]:
 
 def top_k(scored: DataFrame, k: int, digits: int | None = None) -> DataFrame:
     """``(query_id, rank, doc_id, score)``, and a title if there is one, of the best k per query. Each task first
-    cuts its own rows to k per query, so what is shuffled is small even if one query has most of the rows.
-    ``digits`` rounds first."""
+    cuts its own rows to k per query, so what is shuffled is small even if one query has most of the rows. Spark
+    does that up to a threshold; a larger k is cut from the complete ranking. ``digits`` rounds first."""
+    if k > int(scored.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
+        return rank_all(scored, digits).where(F.col("rank") <= k)
     if digits is not None:
         scored = scored.withColumn("score", F.round("score", digits))
     by_query = Window.partitionBy("query_id").orderBy(*_order(scored))
@@ -180,7 +182,7 @@ def top_k(scored: DataFrame, k: int, digits: int | None = None) -> DataFrame:
 
 
 def rank_all(scored: DataFrame, digits: int | None = None, partitions: int | None = None) -> DataFrame:
-    """``(query_id, rank, doc_id, score)`` of every row, without gathering a query in one task.
+    """The same for every row, without gathering a query in one task.
 
     Rows are range-partitioned in rank order and written; a row's rank is its place within its slice plus the
     number of the query's rows in earlier slices.
@@ -202,5 +204,5 @@ def rank_all(scored: DataFrame, digits: int | None = None, partitions: int | Non
     return (
         sliced.withColumn("place", F.row_number().over(within))
         .join(offsets, ["query_id", "slice"])
-        .select("query_id", (F.col("offset") + F.col("place")).alias("rank"), "doc_id", "score")
+        .select("query_id", (F.col("offset") + F.col("place")).alias("rank"), "doc_id", "score", *_kept(scored))
     )
