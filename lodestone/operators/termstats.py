@@ -24,6 +24,8 @@ def counted_tokens(df: DataFrame, text: str, spec: str | Analyzer, numbered: boo
         "_starts",
         F.filter(positions, lambda i: (i == 0) | (F.get(F.col("_sorted"), i) != F.get(F.col("_sorted"), i - 1))),
     )
+    # Used directly in inline(): given a column of its own, the optimizer infers a filter on it and pushes that down,
+    # repeating the whole expression.
     runs = F.transform(
         "_starts",
         lambda at, k: F.struct(
