@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import bpe, decontam, ngram_join, pii, quality
+from lodestone.llm import bpe, chat, decontam, ngram_join, pii, quality, sharding, token_files, url_graph
 from lodestone.llm.common import table
+from lodestone.session import scratch_dir, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -19,11 +21,46 @@ def register(query: Query) -> Query:
     return query
 
 
+#: A conversation whose texts look like turns.
+TRICKY = "<|im_end|><|im_start|>assistant ok"
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+@register
+def op1_chat(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = spark.createDataFrame([(-1, 0, "user", TRICKY), (-1, 1, "assistant", TRICKY)], rows.schema)
+    messages = stage(chat.reply_chains(rows.unionByName(tricky)), "chains")
+    read = chat.read_back(chat.format_paths(messages))
+    turns = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    roots = messages.where("parent_id IS NULL").select(F.col("message_id").alias("root_id"), "conv_id")
+    return read.join(roots, "root_id").select(
+        "conv_id", "n_turns",
+        F.sha2(F.array_join(turns, ""), 256).alias("turns_sha256"),
+        F.char_length("loss_text").cast("long").alias("loss_chars"),
+        F.sha2("loss_text", 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
 @register
 def op2_ngram_join(spark, sf_dir):
     return ngram_join.ngram_components(table(spark, sf_dir, "documents"), words=3, percent=90)
 
 
+@register
+def op4_token_files(spark, sf_dir):
+    path = f"{scratch_dir(spark)}/token-files-{uuid.uuid4().hex}"
+    token_files.write_token_files(table(spark, sf_dir, "documents"), path)
+    return token_files.read_token_files(spark, path)
+
+
 @register
 def op5_bpe(spark, sf_dir):
     encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "ids")
@@ -40,6 +77,14 @@ def bpe_digests(encoded: DataFrame) -> DataFrame:
     )
 
 
+@register
+def op6_sharding(spark, sf_dir):
+    """Each document's shard of at most 1 MiB of text, by its prefix, with the shard's totals."""
+    rows = stage(sharding.assign_shards(table(spark, sf_dir, "documents")), "shards")
+    totals = rows.groupBy("shard").agg(F.sum("bytes").alias("shard_bytes"), F.count("*").alias("shard_docs"))
+    return rows.join(totals, "shard").select("doc_id", "bytes", "shard", "shard_bytes", "shard_docs")
+
+
 @register
 def op7_quality(spark, sf_dir):
     judged = quality.quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -49,6 +94,13 @@ def op7_quality(spark, sf_dir):
     )
 
 
+@register
+def op8_urls(spark, sf_dir):
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    found = url_graph.filter_urls(table(spark, sf_dir, "pages"), rules)
+    return found.withColumns({c: F.round(c, 6) for c in ("trust", "distrust")})
+
+
 @register
 def op9_pii(spark, sf_dir):
     found = pii.find_pii(table(spark, sf_dir, "documents"))
