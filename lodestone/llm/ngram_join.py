@@ -26,7 +26,7 @@ from math import ceil, comb
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.llm.chunks import gather, slices
@@ -39,6 +39,8 @@ PERCENT = 80
 #: Characters that a task works on at a time, and elements in a block of sets.
 STEP_CHARS = 4_000_000
 BLOCK_ELEMENTS = 1_000_000
+#: Words of 63 bits in the filter for the texts that are read again: 4 MB.
+FILTER_WORDS = 1 << 18
 #: Rows of a list beyond which it is dealt over several tasks.
 HOT_ROWS = 20_000
 
@@ -177,6 +179,22 @@ def signatures(docs: DataFrame, words: int, percent: int) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id {kind}, n_shingles long, s1 long, s2 long, keys array<long>")
 
 
+def _might_be(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``docs`` without most of those whose id isn't a ``rep``, so that few texts are shuffled. One bit stands for an
+    id's hash; the table of bits has FILTER_WORDS rows at most, however many ids there are."""
+
+    def bit(c: str) -> tuple[Column, Column]:
+        h = F.xxhash64(c)
+        return F.pmod(h, F.lit(FILTER_WORDS)), F.expr(f"shiftleft(1L, cast(pmod(shiftright(xxhash64({c}), 32), 63) AS int))")
+
+    word, mask = bit("rep")
+    bits = wanted.select(word.alias("_word"), mask.alias("_mask")).groupBy("_word").agg(F.bit_or("_mask").alias("_bits"))
+    bits = F.broadcast(stage(bits, "filter"))
+    word, mask = bit("doc_id")
+    met = docs.withColumn("_word", word).join(bits, "_word").where(F.col("_bits").bitwiseAND(mask) != 0)
+    return met.select("doc_id", "text")
+
+
 def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """(set_no, hashes) of the classes ``wanted`` (set_no, rep, s1, s2), from the texts of their documents ``rep``."""
 
@@ -189,7 +207,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
                 out = pa.RecordBatch.from_arrays([named["set_no"], _as_lists(sets)], ["set_no", "hashes"])
                 yield out.filter(own)
 
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    texts = _might_be(docs.select("doc_id", F.col("text").cast("string").alias("text")), wanted)
     joined = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["rep"])).select("set_no", "s1", "s2", "text")
     return joined.mapInArrow(run, "set_no long, hashes array<long>")
 
