@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import bpe, chat, decontam, ngram_join, pii, quality, sharding, token_files, url_graph
+from lodestone.llm import bpe, chat, decontam, ngram_join, pii, quality, sharding, substring_dedup, token_files, url_graph
 from lodestone.llm.common import table
 from lodestone.session import scratch_dir, stage
 
@@ -54,6 +54,11 @@ def op2_ngram_join(spark, sf_dir):
     return ngram_join.ngram_components(table(spark, sf_dir, "documents"), words=3, percent=90)
 
 
+@register
+def op3_substrings(spark, sf_dir):
+    return substring_dedup.shared_passages(table(spark, sf_dir, "documents"))
+
+
 @register
 def op4_token_files(spark, sf_dir):
     path = f"{scratch_dir(spark)}/token-files-{uuid.uuid4().hex}"
