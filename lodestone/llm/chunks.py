@@ -37,7 +37,7 @@ class Encoded:
     time."""
 
     def __init__(
-        self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], keep: int = 12_000_000
+        self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], keep: int = 6_000_000
     ) -> None:
         self.encode, self.keep = encode, keep
         self._forget()
