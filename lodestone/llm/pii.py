@@ -88,8 +88,8 @@ def _is_ip(m: Column) -> Column:
 
 
 def base_spans(docs: DataFrame) -> DataFrame:
-    """``docs`` as (doc_id, text_key, base, tokens): the spans (s, k, e) of the fixed patterns, ``k`` being a kind's
-    place in KINDS, sorted by start and kind, and the tokens with a digit or an @."""
+    """``docs`` as (doc_id, text_key, base, tokens): the spans (s, k, e, v) of the fixed patterns, ``k`` being a kind's
+    place in KINDS and ``v`` what is found, sorted by start and kind, and the tokens with a digit or an @."""
     frame = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("t"))
     text = F.col("t")
     frame = frame.select(
@@ -103,7 +103,7 @@ def base_spans(docs: DataFrame) -> DataFrame:
     )
 
     def of(k: int) -> Column:
-        return F.transform(f"k{k}", lambda m: F.struct(m["s"].alias("s"), F.lit(k).alias("k"), m["e"].alias("e")))
+        return F.transform(f"k{k}", lambda m: F.struct(m["s"].alias("s"), F.lit(k).alias("k"), m["e"].alias("e"), m["v"].alias("v")))
 
     base = F.array_sort(F.concat(*[of(k) for k in range(len(KINDS))]))
     return frame.select("doc_id", "text_key", base.alias("base"), "tokens")
@@ -146,7 +146,7 @@ def _occurrences_of_tokens(base: DataFrame) -> DataFrame:
     start = F.col("s") + F.col("skip")
     return rows.withColumn("shape", shape).where(F.col("shape").isNotNull()).select(
         "doc_id", "text_key", start.alias("s"), (start + F.char_length("bare")).alias("e"),
-        F.lower("bare").alias("value"), "kind", F.concat_ws(" ", "shape", "left").alias("pattern"),
+        F.lower(F.when(F.col("kind").isNull(), F.col("bare")).otherwise(first["v"])).alias("value"), "kind", F.concat_ws(" ", "shape", "left").alias("pattern"),
     )
 
 
@@ -193,6 +193,8 @@ def find_pii(
     new = new.groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).agg(
         F.collect_set("span").alias("_added")
     )
+    plain = F.transform("base", lambda x: F.struct(x["s"].alias("s"), x["k"].alias("k"), x["e"].alias("e")))
+    base = base.withColumn("base", plain)
     match = base["doc_id"].eqNullSafe(new["_id"]) & (base["text_key"] == new["_key"])
     spans = F.when(F.col("_added").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", "_added")))
     return base.join(new, match, "left").select("doc_id", "text_key", "base", spans.alias("spans"))
