@@ -1,7 +1,74 @@
-"""SQL equivalents of the registered queries, for DuckDB."""
+"""DuckDB SQL of the registered queries, where SQL can express them. The others need a tokenizer, iteration, Spark's
+hashes or positional matches and are tested against brute-force versions in tests/llm."""
 
 from __future__ import annotations
 
+#: Per conversation from its turns; an escaped control string is one character longer, a newline in a role five.
+CHAT = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
+written AS (
+  SELECT *, length(role) + len(regexp_extract_all(role, '<\\*[|]')) + 5 * len(regexp_extract_all(role, '\n'))
+            + length(text) + len(regexp_extract_all(text, '<\\*[|]'))
+            + length('<|im_start|>') + length('<|im_end|>') + 2 AS chars
+  FROM turns),
+joined AS (
+  SELECT conv_id, count(*) AS n_turns,
+         string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS said,
+         coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss,
+         CAST(sum(chars) AS BIGINT) AS formatted_chars
+  FROM written GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+       formatted_chars
+FROM joined"""
+
+QUALITY = r"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+split AS (SELECT doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM texts),
+placed AS (SELECT doc_id, unnest(range(len(ws))) AS pos, unnest(ws) AS w FROM split),
+windows AS (
+  SELECT doc_id, pos, lead(w, 7) OVER o AS last,
+         concat_ws(' ', w, lead(w, 1) OVER o, lead(w, 2) OVER o, lead(w, 3) OVER o, lead(w, 4) OVER o,
+                   lead(w, 5) OVER o, lead(w, 6) OVER o, lead(w, 7) OVER o) AS k
+  FROM placed WINDOW o AS (PARTITION BY doc_id ORDER BY pos)),
+twice AS (
+  SELECT doc_id, pos FROM windows WHERE last IS NOT NULL QUALIFY count(*) OVER (PARTITION BY doc_id, k) > 1),
+repeated AS (
+  SELECT doc_id, CAST(sum(covers) AS BIGINT) AS n_repeat_words
+  FROM (SELECT doc_id, least(8, coalesce(lead(pos) OVER (PARTITION BY doc_id ORDER BY pos) - pos, 8)) AS covers FROM twice)
+  GROUP BY doc_id),
+lines AS (
+  SELECT doc_id, line FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM texts)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+once AS (SELECT DISTINCT doc_id, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n FROM lines),
+judged AS (
+  SELECT doc_id, line,
+         len(regexp_extract_all(line, '[|\x{BB}\x{203A}\x{2022}]')) * 4 > n
+         OR len(regexp_extract_all(line, '[#*$%&<>]{2,}')) * 4 > n
+         OR len(regexp_extract_all(line, '!{2,}')) * 4 > n
+         OR n >= 8 AND (upper(line) = line AND lower(line) <> line
+                        OR NOT regexp_matches(line, '[.!?,;:\x{2026}\x{3002}\x{FF01}\x{FF1F}\x{60C}\x{61F}\x{964}]'))
+         OR n <= 25 AND regexp_matches(line, '(?i)all rights reserved|licensed under|released under the|copyright \d|cookie policy|privacy policy|terms of (use|service)|subscribe to our|enable javascript|sign up for') AS fails
+  FROM once),
+all_lines AS (SELECT doc_id, count(*) AS n_lines, sum(length(line)) AS chars FROM lines GROUP BY doc_id),
+own_lines AS (
+  SELECT doc_id, count(*) AS n_once, count(*) FILTER (fails) AS n_failed_lines,
+         coalesce(sum(length(line)) FILTER (NOT fails), 0) AS good_chars
+  FROM judged GROUP BY doc_id),
+measured AS (
+  SELECT doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
+         len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols,
+         coalesce(n_lines - n_once, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+         coalesce(n_lines, 0) AS n_lines, coalesce(n_failed_lines, 0) AS n_failed_lines,
+         coalesce(good_chars * 100 >= chars * 50, false) AS enough
+  FROM split LEFT JOIN repeated USING (doc_id) LEFT JOIN all_lines USING (doc_id) LEFT JOIN own_lines USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+       NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND enough AS kept, n_lines, n_failed_lines
+FROM measured"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_chat": CHAT, "op7_quality": QUALITY}
