@@ -114,7 +114,9 @@ def format_paths(messages: DataFrame, branches: int | None = 1, loss_roles: tupl
     on_path = ranked.select(F.col("node").alias("leaf"), "node")
     for stride in reversed(strides):
         # the state of a stride's round may end before the root: its ups are exactly so many replies above
-        on_path = on_path.unionByName(on_path.join(stride, "node").select("leaf", F.col("up").alias("node")))
+        above = on_path.join(stride, "node").select("leaf", F.col("up").alias("node"))
+        # written each time, as the plan would double with every stride
+        on_path = stage(on_path.unionByName(above), "paths")
     depths = paths.select("node", "depth")
     turns = on_path.join(depths, "node").join(kept.select("node", "role", "text"), "node")
     role = F.replace(escaped(F.col("role")), F.lit("\n"), F.lit(NEWLINE))
