@@ -262,6 +262,11 @@ SELECT term, doc_id, tf FROM body_tf WHERE term IN ({", ".join(text(t) for t in
         "index_append": f"""WITH {body}
 SELECT t.term, t.doc_id, t.tf, n.doc_len, w.df, w.term_total, round(n.norm, 5) AS norm
 FROM body_tf t JOIN body_terms w USING (term) JOIN body_norm n USING (doc_id)""",
+        "index_rebuild": f"""WITH {body}
+SELECT t.term, t.doc_id, t.tf, n.doc_len, w.df, w.term_total, round(n.norm, 5) AS norm
+FROM body_tf t JOIN body_terms w USING (term) JOIN body_norm n USING (doc_id)""",
+        "anchor_append": f"""WITH {index("a", BY_TARGET)}
+SELECT term, doc_id, tf, doc_len FROM a_tf JOIN a_len USING (doc_id)""",
         "anchor_fragments": BY_TARGET,
         "anchor_docs": f"SELECT doc_id, string_agg(text, ' ' ORDER BY text) AS text FROM ({BY_SOURCE}) GROUP BY doc_id",
         "field_docs": f"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -140,8 +141,6 @@ def posting_lists(spark, sf_dir):
 
 
 def _stored(spark, docs, name, *args, **options) -> tuple[Index, str]:
-    import uuid
-
     path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
     return index_store.write_index(docs, path, *args, **options), path
 
@@ -162,6 +161,28 @@ def index_append(spark, sf_dir):
     return rounded(postings.select("term", "doc_id", "tf", "doc_len", "df", "term_total", "norm"), "norm")
 
 
+@register
+def index_rebuild(spark, sf_dir):
+    """Some documents indexed and more appended, then replaced by others: only the last build counts."""
+    docs = fx.bodies(spark, sf_dir)
+    _, path = _stored(spark, docs.where("doc_id % 3 = 0"), "rebuilt", "simple")
+    index_store.append_docs(docs.where("doc_id % 3 = 1"), path)
+    index = index_store.write_index(docs, path, "simple", fx.MIN_DF_BODY, norms=True)
+    index_store.remove_replaced(spark, path)
+    postings = index.postings.join(index.terms, "term").join(index.doc_stats.select("doc_id", "norm"), "doc_id")
+    return rounded(postings.select("term", "doc_id", "tf", "doc_len", "df", "term_total", "norm"), "norm")
+
+
+@register
+def anchor_append(spark, sf_dir):
+    """Links of half of the pages indexed, those of the others appended; pages that both link to get both texts."""
+    fragments = corpus.anchor_fragments(fx.page_corpus(spark, sf_dir))
+    half = F.pmod(F.xxhash64("doc_id", "text"), F.lit(2))
+    _, path = _stored(spark, fragments.where(half == 0), "anchors", "simple", fragments=True)
+    index = index_store.append_docs(fragments.where(half == 1), path)
+    return index.postings.select("term", "doc_id", "tf", "doc_len")
+
+
 @register
 def anchor_fragments(spark, sf_dir):
     return corpus.anchor_fragments(fx.page_corpus(spark, sf_dir))

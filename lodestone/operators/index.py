@@ -21,6 +21,8 @@ class Index:
     terms: term, df, term_total of the kept terms
     doc_stats: doc_id, doc_len (and norm, when built with norms) of documents with a token
     meta: one row n_docs, avg_len
+    counted: where postings are still to be filtered, those of all terms: the terms of queries are looked up in the
+        dictionary anyway, so rankers need no filter
     """
 
     analyzer: str | Analyzer
@@ -29,6 +31,7 @@ class Index:
     doc_stats: DataFrame
     meta: DataFrame
     n_buckets: int | None = None
+    counted: DataFrame | None = None
 
     @property
     def n_docs(self) -> Column:
@@ -89,4 +92,4 @@ def build_index(
     if norms:
         stats = keep(doc_norms(counted, terms, stats), "doc-norms")
     meta = keep(termstats.collection_stats(stats), "meta")
-    return Index(analyzer, keep_terms(counted, terms, min_df), terms, stats, meta)
+    return Index(analyzer, keep_terms(counted, terms, min_df), terms, stats, meta, counted=counted)

@@ -17,7 +17,6 @@ from lodestone.operators.termstats import combined_lengths, counted_tokens
 from lodestone.session import stage
 
 QUERY_SMOOTHING = 1e-7  # fixed value: added to df in the weights of query words
-PUSHED_TERMS = 64
 
 
 def query_terms(queries: DataFrame, analyzer) -> DataFrame:
@@ -38,22 +37,21 @@ def candidates(index: Index, q_terms: DataFrame, salt_rows: int | None = None) -
 
     The query terms are written first, so that their size is known when the join is planned: if it is below
     ``spark.sql.autoBroadcastJoinThreshold`` they are broadcast and the postings are read in place, without the
-    shuffle that an unknown size would start. Up to ``PUSHED_TERMS`` different terms also become a filter of the
-    scan, which on a stored index leaves only their buckets, and in these the row groups that may hold them.
+    shuffle that an unknown size would start. Of a stored index only the buckets of the query terms are read, however
+    many these are; there are at most ``n_buckets`` to name in the filter.
 
     Larger batches meet by shuffle, where adaptive execution splits skewed terms. With ``salt_rows`` the split is
     explicit: a term in more than that many documents is divided by document into ``ceil(df / salt_rows)`` parts,
     each of which gets its own copy of the query rows.
     """
-    postings, keys = index.postings, ["term"]
+    postings, keys = index.postings if index.counted is None else index.counted, ["term"]
     if index.n_buckets:
         q_terms = q_terms.withColumn("bucket", term_bucket(F.col("term"), index.n_buckets))
         keys.append("bucket")
     q_terms = stage(q_terms, "query-terms")
-    few = q_terms.select(*keys).distinct().limit(PUSHED_TERMS + 1).collect()
-    if len(few) <= PUSHED_TERMS:
-        for key in keys:
-            postings = postings.where(F.col(key).isin(sorted({row[key] for row in few})))
+    if index.n_buckets:
+        asked = sorted(row["bucket"] for row in q_terms.select("bucket").distinct().collect())
+        postings = postings.where(F.col("bucket").isin(asked))
     if salt_rows:
         parts = F.ceil(F.col("df") / salt_rows)
         frequent = index.terms.where(F.col("df") > salt_rows).select("term", parts.alias("parts"))

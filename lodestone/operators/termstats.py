@@ -48,8 +48,15 @@ def fragment_terms(fragments: DataFrame, spec: str | Analyzer) -> DataFrame:
     """The same for documents spread over many ``(doc_id, text)`` rows, as anchor texts are: fragments are
     counted where they are and the counts added up, so a document with very many fragments is never
     gathered in one place."""
-    counted = counted_tokens(fragments.select("doc_id", "text"), "text", spec)
-    tf = counted.groupBy("doc_id", "term").agg(F.sum("tf").alias("tf"))
+    return add_counts(counted_tokens(fragments.select("doc_id", "text"), "text", spec))
+
+
+def add_counts(*counted: DataFrame) -> DataFrame:
+    """``(term, doc_id, tf, doc_len)`` from parts of the counts ``(term, doc_id, tf)``, added up."""
+    every = counted[0].select("doc_id", "term", "tf")
+    for more in counted[1:]:
+        every = every.unionByName(more.select("doc_id", "term", "tf"))
+    tf = every.groupBy("doc_id", "term").agg(F.sum("tf").alias("tf"))
     lengths = tf.groupBy("doc_id").agg(F.sum("tf").alias("doc_len"))
     return tf.join(lengths, "doc_id").select("term", "doc_id", "tf", "doc_len")
 

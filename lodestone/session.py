@@ -41,6 +41,12 @@ def scratch_dir(spark: SparkSession) -> str:
     return _local_scratch[0].name
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever store it is; nothing happens if it is not there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write a result that several later steps read, and continue from the written table: the work is done
     once, survives lost executors, and is read back column by column."""

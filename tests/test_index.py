@@ -4,7 +4,15 @@ from pyspark.sql import functions as F
 from lodestone.operators import termstats
 from lodestone.operators.index import build_index
 from lodestone.operators.rank import bm25
-from lodestone.sources.index_store import append_docs, lookup_postings, read_index, read_table, write_index, write_table
+from lodestone.sources.index_store import (
+    append_docs,
+    lookup_postings,
+    read_index,
+    read_table,
+    remove_replaced,
+    write_index,
+    write_table,
+)
 from tests.brute import Model
 
 
@@ -117,3 +125,43 @@ def test_unfinished_append_is_not_seen(spark, docs, tmp_path):
 def test_side_tables(spark, docs, tmp_path):
     write_table(docs, str(tmp_path / "t"))
     assert read_table(spark, str(tmp_path / "t")).count() == docs.count()
+
+
+def test_rebuild_replaces_an_appended_index(spark, docs, tmp_path):
+    path = str(tmp_path / "index")
+    write_index(docs.where("doc_id = 1"), path, "simple")
+    append_docs(docs.where("doc_id = 2"), path)
+    # a rebuild that ends before its meta row leaves the old index as it is
+    stray = termstats.doc_terms(docs.where("doc_id = 5"), "simple")
+    stray.write.parquet(f"{path}/counted/gen=2")
+    stray.withColumn("bucket", F.lit(1)).write.partitionBy("bucket").parquet(f"{path}/postings/gen=2")
+    assert {r.doc_id for r in read_index(spark, path).postings.collect()} == {1, 2}
+    other = docs.where("doc_id = 4").withColumn("doc_id", F.col("doc_id").cast("string"))
+    for index in (write_index(other, path, "simple"), read_index(spark, path)):
+        assert rows(index.postings, "term", "doc_id", "tf") == [("bird", "4", 2), ("sea", "4", 3)]
+        assert rows(index.terms, "term") == [("bird",), ("sea",)]
+        assert rows(index.doc_stats, "doc_id") == [("4",)]
+    remove_replaced(spark, path)
+    assert sorted(p.name for p in (tmp_path / "index" / "meta").glob("gen=*")) == ["gen=2"]
+    assert rows(read_index(spark, path).postings, "doc_id") == [("4",), ("4",)]
+
+
+def test_fragments_are_appended(spark, docs, tmp_path):
+    words = docs.select("doc_id", F.posexplode(F.split("text", " ")).alias("at", "text"))
+    path = str(tmp_path / "index")
+    write_index(words.where("at % 2 = 0").drop("at"), path, "simple", min_df=1, norms=True, fragments=True)
+    index = append_docs(words.where("at % 2 = 1").drop("at"), path)
+    built = build_index(docs, "simple", min_df=1, norms=True)
+    for part, cols in (
+        ("postings", ["term", "doc_id", "tf", "doc_len"]),
+        ("terms", ["term", "df", "term_total"]),
+        ("doc_stats", ["doc_id", "doc_len", "norm"]),
+    ):
+        assert rows(getattr(index, part), *cols) == rows(getattr(built, part), *cols)
+
+
+def test_repeated_ids_are_not_appended(docs, tmp_path):
+    path = str(tmp_path / "index")
+    write_index(docs.where("doc_id = 1"), path, "simple")
+    with pytest.raises(ValueError, match="same id"):
+        append_docs(docs.where("doc_id = 2").union(docs.where("doc_id = 2")), path)

@@ -128,3 +128,18 @@ def test_scratch_tables_survive_their_source(spark, tmp_path):
     staged = stage(spark.read.parquet(str(tmp_path / "src")), "copy")
     spark.range(1).write.mode("overwrite").parquet(str(tmp_path / "src"))
     assert staged.count() == 5
+
+
+@pytest.mark.parametrize("n", [2, 5, 11, 65])
+def test_only_the_buckets_of_query_terms_are_read(spark, hot, tmp_path, n):
+    docs, _ = hot
+    index = write_index(docs, str(tmp_path / "i"), "simple", n_buckets=500)
+    words = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: F.concat(F.lit("word"), i.cast("string"))), " ")
+    joined = bm25(index, spark.range(1).select(F.col("id").alias("query_id"), words.alias("text")))
+    filters = [line.split("PartitionFilters: [")[1].split("]")[0] for line in plan(joined).splitlines() if "PartitionFilters" in line]
+    assert any("bucket" in f for f in filters)
+
+
+def test_rankers_do_not_filter_by_the_dictionary(spark, hot):
+    docs, queries = hot
+    assert "LeftSemi" not in plan(bm25(build_index(docs, "simple", min_df=5), queries))
