@@ -108,6 +108,35 @@ def test_shared_passages(spark):
     assert substring_dedup.shared_passages(docs_of(spark, [])).count() == 0
 
 
+def test_two_passages_of_a_pair(spark):
+    """Two shared passages, close enough to be one chain that as a whole is too little alike."""
+    rng = random.Random(7)
+    own = lambda n: sentence(rng, n)
+    gaps = [(25, 25), (31, 31), (45, 45), (60, 60), (40, 0), (0, 55)]
+    rows = []
+    for x, (n, m) in enumerate(gaps):
+        one, two = own(60), own(60)
+        rows += [(2 * x, f"{own(30)} {one} {own(n)} {two} {own(20)}"), (2 * x + 1, f"{own(10)} {one} {own(m)} {two} {own(30)}")]
+    got = substring_dedup.shared_passages(docs_of(spark, rows)).collect()
+    assert all(r.similarity >= 0.8 for r in got)
+    for x, (n, m) in enumerate(gaps):
+        for doc, start, between in ((2 * x, 30, n), (2 * x + 1, 10, m)):
+            covered = {w for r in got if r.doc_id == doc for w in range(r.start, r.end)}
+            assert covered >= {*range(start, start + 60), *range(start + 60 + between, start + 120 + between)}
+
+
+def test_parts_of_a_chain():
+    """A passage with a wide edit beside words with many small ones: the widest gap is no place to cut."""
+    a = np.arange(1000)
+    b = a.copy()
+    b[128:138] += 5000
+    b[166:400:3] += 5000
+    b[420:430] += 5000
+    places = np.array([100, 110, 118, 138, 150, 156, 400, 410, 430, 440, 450, 460, 470])
+    parts = substring_dedup._parts(a, b, places, places, 50, 0.8)
+    assert parts == [(0, 5), (6, 12)]
+
+
 def test_edits_and_chains():
     rng = random.Random(3)
 
