@@ -137,6 +137,22 @@ def test_parts_of_a_chain():
     assert parts == [(0, 5), (6, 12)]
 
 
+def test_chains_after_a_long_passage(spark):
+    """The end of a long shared section is too far away for a later passage, but doesn't part its matches."""
+    far = [*range(0, 500, 8)]
+    chains = substring_dedup.chain([*far, 700, 718, 734], [*far, 640, 658, 674])
+    assert sorted(chains) == [(0, 506, 0, 506, 63), (700, 744, 640, 684, 3)]
+    rng = random.Random(12)
+    own = lambda n: sentence(rng, n)
+    long, rows = own(500), []
+    for x in range(8):
+        one, two = own(36), own(36)
+        rows += [(y, f"{own(20)} {long} {own(80)} {one} {own(6)} {two} {own(20)}") for y in (2 * x, 2 * x + 1)]
+        long = own(500)
+    got = substring_dedup.shared_passages(docs_of(spark, rows)).collect()
+    assert {r.doc_id for r in got if r.start <= 600 and r.end >= 678} == set(range(16))
+
+
 def test_edits_and_chains():
     rng = random.Random(3)
 
