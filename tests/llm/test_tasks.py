@@ -153,6 +153,21 @@ def test_chains_after_a_long_passage(spark):
     assert {r.doc_id for r in got if r.start <= 600 and r.end >= 678} == set(range(16))
 
 
+def test_seed_neighbours_for_any_partitions(spark):
+    """Each document of a seed meets the two before it, wherever the ranges of tasks begin."""
+    rng = random.Random(6)
+    rows = [(s, n, p) for s, most in ((5, 40), (6, 3), (7, 1), (8, 200), (9, 2)) for n in range(most) for p in rng.sample(range(99), rng.choice([1, 1, 2]))]
+    seeds = spark.createDataFrame(rows, "seed long, no long, place long").repartition(3)
+    want = {(s, a, b) for s, b, _ in rows for a in (b - 1, b - 2) if a >= 0}
+    each = []
+    for tasks in (1, 2, 7, 60):
+        got = substring_dedup._neighbours(seeds, tasks)
+        assert got.columns == ["a", "b", "i", "j"]
+        each.append(sorted(map(tuple, got.collect())))
+    assert all(x == each[0] for x in each)
+    assert {(a, b) for a, b, _, _ in each[0]} == {(a, b) for _, a, b in want}
+
+
 def test_edits_and_chains():
     rng = random.Random(3)
 
