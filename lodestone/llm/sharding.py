@@ -44,17 +44,17 @@ def _directory(rows: DataFrame, limit: int, depth: int, bits: int) -> DataFrame:
     return cells.select("cell").join(fewest, "cell", "left").select("cell", shard.alias("shard"))
 
 
-def assign_shards(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
+def assign_shards(docs: DataFrame, limit: int = LIMIT, row_no: str | None = None) -> DataFrame:
     """(row_no, doc_id, bytes, shard): the shard of each row of ``docs`` (doc_id, text), as the bits of its prefix.
 
     ``bytes`` are those of the text in UTF-8, 0 for null. A null id has the hash of the empty string. Shards have
-    ``limit`` bytes at most, or one row. ``row_no`` is arbitrary. No documents, no shards; if all fit together, the one
+    ``limit`` bytes at most, or one row. ``row_no`` is the column of that name, of numbers that differ, or arbitrary. No documents, no shards; if all fit together, the one
     shard's prefix is empty.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     rows = docs.select(
-        F.monotonically_increasing_id().alias("row_no"), "doc_id", F.octet_length(text).cast("long").alias("bytes"),
+        (F.col(row_no) if row_no else F.monotonically_increasing_id()).alias("row_no"), "doc_id", F.octet_length(text).cast("long").alias("bytes"),
         hash_bits(key).alias("bits"), F.substring(F.md5(text), 1, 15).alias("more"),
     )
     rows = stage(rows, "shard-rows")
@@ -86,8 +86,7 @@ def write_shards(docs: DataFrame, path: str, limit: int = LIMIT) -> None:
     if "shard" in (c.lower() for c in docs.columns):
         raise ValueError("the documents have a column called shard")
     rows = stage(docs.withColumn("_row_no", F.monotonically_increasing_id()), "shard-docs")
-    shards = assign_shards(rows, limit).select("row_no", F.concat(F.lit("b"), "shard").alias("shard"))
-    # the staged rows keep their order and places, so that their numbers are theirs again
-    numbered = rows.withColumn("_n", F.monotonically_increasing_id())
-    joined = numbered.join(shards, numbered["_n"] == shards["row_no"]).drop("row_no", "_n", "_row_no")
+    # the numbers are written: numbers given in two readings differ if the files are split otherwise
+    shards = assign_shards(rows, limit, "_row_no").select("row_no", F.concat(F.lit("b"), "shard").alias("shard"))
+    joined = rows.join(shards, rows["_row_no"] == shards["row_no"]).drop(shards["row_no"]).drop("_row_no")
     joined.repartition("shard").write.partitionBy("shard").parquet(path)

@@ -275,6 +275,28 @@ def test_written_shards(spark, tmp_path):
     assert back.select("shard").distinct().count() > 3
 
 
+def test_written_shards_of_split_files(spark, tmp_path, monkeypatch):
+    """The staged rows are split otherwise once the shards are known, as they are when executors are lost."""
+    docs = spark.range(2000).selectExpr("id AS doc_id", "repeat(cast(id AS string), 30) AS text", "'x' AS row_no").repartition(7)
+    plain, size = sharding.assign_shards, "spark.sql.files.maxPartitionBytes"
+
+    def split_otherwise(*args):
+        shards = plain(*args)
+        spark.conf.set(size, 2000)
+        return shards
+
+    monkeypatch.setattr(sharding, "assign_shards", split_otherwise)
+    before = spark.conf.get(size)
+    try:
+        sharding.write_shards(docs, f"{tmp_path}/s", 20_000)
+    finally:
+        spark.conf.set(size, before)
+    back = spark.read.parquet(f"{tmp_path}/s")
+    assert sorted(map(tuple, back.select("doc_id", "text", "row_no").collect())) == sorted(map(tuple, docs.collect()))
+    want = {r.doc_id: r.shard for r in plain(docs, 20_000).collect()}
+    assert {r.doc_id: r.shard[1:] for r in back.collect()} == want
+
+
 # --- pipeline --------------------------------------------------------------------------------------
 
 
