@@ -2,8 +2,8 @@
 
 The entities of the fixed patterns are seeds. A seed's context (the word before it, and the shape of the token) is a
 lexical pattern. Patterns and the identifier-like tokens they surround form a bipartite graph, on which scores go to
-and fro: a pattern's confidence in a kind is the mean score of its tokens, a token's score follows from the confident
-patterns around any of its occurrences. Tokens in a confident pattern are found as identifiers of its kind, though no
+and fro: a pattern's confidence in a kind is the mean score of its tokens that are decided, which seeds are and tokens
+with a score; a token's score follows from the confident patterns around any of its occurrences. Tokens in a confident pattern are found as identifiers of its kind, though no
 fixed pattern matches them.
 
 Fixed patterns and tokens are matched within the row of a document. Only the tokens with a digit or an ``@`` leave
@@ -32,7 +32,7 @@ IP_PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 #: A word with a digit or an @.
 TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
 
-#: A pattern is confident in a kind at this mean score, if it surrounds so many different seeds of the kind.
+#: A pattern is confident in a kind at this mean score of its decided tokens, if their scores add up to so much.
 MIN_CONFIDENCE = 0.9
 MIN_SEEDS = 5
 ROUNDS = 3
@@ -150,26 +150,38 @@ def _occurrences_of_tokens(base: DataFrame) -> DataFrame:
     )
 
 
+def _never(value: Column, kind: Column) -> Column:
+    """Whether a token is no identifier of a kind: a number as long as cards, which isn't one, or too long for phones."""
+    n = F.char_length(_digits(value))
+    return ((kind == 2) & (n >= 14) & (n <= 19)) | ((kind == 3) & (n > 15))
+
+
 def confident_patterns(tokens: DataFrame, min_confidence: float, min_seeds: int, rounds: int) -> DataFrame:
     """(pattern, kind): ``rounds`` times, patterns are scored by their tokens and tokens by their patterns.
 
     A token is one value in one pattern, counted once however often it occurs; a seed scores 1 for its kind and 0
-    for others. Another token's score for a kind is 1 - Π(1 - confidence) over the confident patterns around its value.
+    for others. Another token's score for a kind is 1 - Π(1 - confidence) over the confident patterns around its value,
+    of the round before; as long as it has none for any kind it is undecided, and no evidence against a kind unless its
+    digits rule the kind out. A pattern
+    needs scores of ``min_seeds`` in all, from seeds or from tokens that rounds before have found.
     """
     edges = stage(tokens.groupBy("pattern", "value").agg(F.min("kind").alias("seed")), "pii-edges")
-    sizes = edges.groupBy("pattern").agg(F.count("*").alias("n"))
     scores = edges.where("seed IS NOT NULL").select("pattern", "value", F.col("seed").alias("kind"), F.lit(1.0).alias("score"))
-    seeds = scores.groupBy("pattern", "kind").agg(F.count("*").alias("seeds"))
+    kinds = F.explode(F.array(F.lit(2), F.lit(3))).alias("kind")
+    ruled_out = edges.where("seed IS NULL").select("pattern", "value", kinds).where(_never(F.col("value"), F.col("kind")))
     found = scores
     for _ in range(rounds):
         scored = found.groupBy("pattern", "kind").agg(F.sum("score").alias("score"))
-        confident = scored.join(sizes, "pattern").join(seeds, ["pattern", "kind"])
+        decided = found.select("pattern", "value").join(scored.select("pattern", "kind"), "pattern")
+        decided = decided.unionByName(ruled_out).distinct().groupBy("pattern", "kind").agg(F.count("*").alias("n"))
         confidence = F.col("score") / F.col("n")
-        confident = confident.where((F.col("seeds") >= min_seeds) & (confidence >= min_confidence))
+        # scores are added up in any order
+        enough = (F.col("score") >= min_seeds - 1e-9) & (confidence >= min_confidence - 1e-9)
+        confident = scored.join(decided, ["pattern", "kind"]).where(enough)
         confident = stage(confident.select("pattern", "kind", confidence.alias("confidence")), "pii-patterns")
         around = edges.join(confident, "pattern").groupBy("value", "kind")
         by_value = around.agg(F.product(1 - F.col("confidence")).alias("miss"))
-        unseen = edges.where("seed IS NULL").join(by_value, "value")
+        unseen = edges.where("seed IS NULL").join(by_value, "value").where(~_never(F.col("value"), F.col("kind")))
         found = scores.unionByName(unseen.select("pattern", "value", "kind", (1 - F.col("miss")).alias("score")))
     best = confident.groupBy("pattern").agg(F.max_by("kind", F.struct("confidence", -F.col("kind"))).alias("kind"))
     return best
@@ -188,7 +200,7 @@ def find_pii(
     base = stage(base_spans(docs), "pii-base")
     tokens = stage(_occurrences_of_tokens(base), "pii-tokens")
     patterns = confident_patterns(tokens, min_confidence, min_seeds, rounds)
-    new = tokens.where("kind IS NULL").drop("kind").join(patterns, "pattern")
+    new = tokens.where("kind IS NULL").drop("kind").join(patterns, "pattern").where(~_never(F.col("value"), F.col("kind")))
     new = new.select("doc_id", "text_key", F.struct("s", F.col("kind").alias("k"), "e").alias("span"))
     new = new.groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).agg(
         F.collect_set("span").alias("_added")

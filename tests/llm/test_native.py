@@ -121,6 +121,24 @@ def test_pii_bootstrapping(spark):
     assert pii.redact(docs).columns == docs.columns
 
 
+def test_pii_later_rounds(spark):
+    """Numbers that a first context finds make a second one confident, and undecided ones don't count against it."""
+    local = [f"555-23{n}-77" for n in range(10, 40)]
+    rows = [(i, f"please phone: +1 (222) 333-44{i:02d} now") for i in range(10, 30)]
+    rows += [(100 + x, f"or phone: {v} later") for x, v in enumerate(local)]
+    rows += [(200 + x, f"just ring {v} soon") for x, v in enumerate(local)]
+    rows += [(300, "just ring 777-1234-99 soon"), (301, "id 777-1234-98 here")]
+    rows += [(400 + x, f"card: {v} end") for x, v in enumerate(["a@b.co", "c@d.org", "e@f.net", "g@h.com", "i@j.io"])]
+    rows += [(500 + x, f"pay card: {v} now") for x, v in enumerate(["4111 1111 1111 1111", "5555 5555 5555 4444", "4012888888881881", "378282246310005", "6011111111111117", "4111-1111-1111-1112"])]
+    docs = docs_of(spark, rows)
+    found = {r.doc_id: [tuple(x) for x in r.spans] for r in pii.find_pii(docs).collect()}
+    assert all(found[100 + x] == [(10, 3, 21)] for x in range(30))
+    assert found[300] == [(10, 3, 21)] and found[301] == []
+    assert found[504] == [(10, 2, 26)] and found[505] == []  # a number as long as a card that fails its check digit
+    once = {r.doc_id: [tuple(x) for x in r.spans] for r in pii.find_pii(docs, rounds=1).collect()}
+    assert once[100] == [(10, 3, 21)] and once[300] == []
+
+
 def test_pii_empty_table(spark):
     assert pii.find_pii(docs_of(spark, [])).count() == 0
 
