@@ -64,6 +64,16 @@ def test_quality_lines(spark):
     assert all(r.text == prose for r in got.values())
 
 
+def test_keep_good_of_repeated_text(spark):
+    """A long text of repeats is judged once: the filter holds none of the rules."""
+    rng = random.Random(5)
+    prose = "\n".join(" ".join(f"w{rng.randrange(10**6)}" for _ in range(12)) + "." for _ in range(50))
+    docs = docs_of(spark, [(1, "one two three four five six seven eight, nine ten. " * 500), (2, prose), (3, None), (2, prose)])
+    kept = quality.keep_good(docs)
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(2, prose), (2, prose)]
+    assert "hash" not in kept._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_quality_empty_table(spark):
     assert quality.quality_rules(docs_of(spark, [])).count() == 0
 
