@@ -70,5 +70,62 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM measured"""
 
 
+#: All scores of the anchors, by joining components.
+HARD_NEGATIVES = """
+WITH fine AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS (SELECT vec_id, label, unnest(range(len(v))) AS i, unnest(v) AS x FROM fine),
+scores AS (
+  SELECT a.vec_id AS a, r.vec_id AS r, a.label = r.label AS same, CAST(sum(a.x * r.x) AS BIGINT) AS score
+  FROM parts a JOIN parts r ON a.i = r.i AND a.vec_id <> r.vec_id WHERE a.vec_id % 100 = 0 GROUP BY ALL),
+positives AS (
+  SELECT a, r, score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, r) <= 5)
+SELECT p.a AS anchor_id, p.r AS positive_id,
+       CAST(row_number() OVER (PARTITION BY p.a, p.r ORDER BY n.score DESC, n.r) AS INTEGER) AS rank,
+       n.r AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scores n ON n.a = p.a AND NOT n.same
+WHERE 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+QUALIFY row_number() OVER (PARTITION BY p.a, p.r ORDER BY n.score DESC, n.r) <= 10"""
+
+#: Every node with all its ancestors; the checksum is the bitwise CRC-32 of the decimal id.
+PREFIX_TRIE = """
+WITH own AS (
+  SELECT conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')} ORDER BY turn NULLS FIRST, role, text) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+heads AS (
+  SELECT *, xor(list_reduce(
+    list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+    lambda c, b: list_reduce(range(8), lambda y, z: xor(y >> 1, (y & 1) * 3988292384), xor(c, b)), 4294967295),
+    4294967295) % 9 AS h
+  FROM own),
+rebuilt AS (
+  SELECT c.conv_id, list_concat(coalesce(b.turns, [])[1:c.h], c.turns[c.h + 1:]) AS turns
+  FROM heads c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 5),
+prefixes AS (
+  SELECT conv_id, len(turns) AS n, unnest(range(len(turns) + 1)) AS depth, turns FROM rebuilt),
+nodes AS (
+  SELECT turns[1:depth] AS path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         coalesce(string_agg(conv_id, ',' ORDER BY conv_id) FILTER (n = depth), '') AS ends
+  FROM prefixes GROUP BY ALL),
+children AS (SELECT path[1:depth - 1] AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL),
+full_nodes AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children,
+         CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * strlen(n.path[-1].t) END AS saved
+  FROM nodes n LEFT JOIN children c ON c.path = n.path),
+above AS (SELECT path, unnest(range(depth + 1)) AS up, n_children, saved FROM full_nodes),
+sums AS (
+  SELECT path[1:up] AS path, count(*) FILTER (n_children = 0) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens
+  FROM above GROUP BY ALL)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, n_leaves, saved_tokens,
+       sha256(n.ends) AS ends_sha256
+FROM full_nodes n JOIN sums s ON s.path = n.path
+LEFT JOIN nodes p ON n.depth > 0 AND p.depth = n.depth - 1 AND p.path = n.path[1:n.depth - 1]"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat": CHAT, "op7_quality": QUALITY}
+    return {"op1_chat": CHAT, "op7_quality": QUALITY, "op11_hard_negatives": HARD_NEGATIVES, "op13_prefix_trie": PREFIX_TRIE}

@@ -8,7 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import bpe, chat, decontam, ngram_join, pii, quality, sharding, substring_dedup, token_files, url_graph
+from lodestone.llm import (
+    bpe, chat, decontam, hard_negatives, minhash, ngram_join, pii, prefix_trie, quality, sharding, substring_dedup,
+    token_files, url_graph,
+)
 from lodestone.llm.common import table
 from lodestone.session import scratch_dir, stage
 
@@ -124,3 +127,22 @@ def op9_pii(spark, sf_dir):
 @register
 def op10_decontaminate(spark, sf_dir):
     return decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register
+def op11_hard_negatives(spark, sf_dir):
+    rows = hard_negatives.scaled_rows(table(spark, sf_dir, "embeddings"))
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = stage(rows.withColumn("label", moved), "vectors")
+    return hard_negatives.hard_negatives(rows, rows.where("vec_id % 100 = 0"))
+
+
+@register
+def op12_minhash(spark, sf_dir):
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
+
+
+@register
+def op13_prefix_trie(spark, sf_dir):
+    sequences = stage(prefix_trie.turn_sequences(table(spark, sf_dir, "conversations")), "sequences")
+    return prefix_trie.prefix_trie(prefix_trie.with_shared_heads(sequences))
