@@ -33,6 +33,8 @@ def difference(got: pd.DataFrame, want: pd.DataFrame) -> str | None:
         return f"columns {sorted(got.columns)} / {sorted(want.columns)}"
     if len(got) != len(want):
         return f"rows {len(got)} / {len(want)}"
+    whole = [c for c in got.columns if got[c].dtype == "float64" and str(want[c].dtype) == "Int64"]
+    got = got.astype({c: "Int64" for c in whole})  # whole numbers with nulls
     got, want = normal(got), normal(want)
     types = [(c, str(got[c].dtype), str(want[c].dtype)) for c in got.columns if got[c].dtype != want[c].dtype]
     if types:
