@@ -120,8 +120,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     buckets = _buckets(classes)
     plain = classes.drop("bands")
     wanted = plain.join(buckets.select("set_no").distinct(), "set_no", "left_semi")
-    sets = stage(_sets(docs, stage(wanted.select("set_no", "rep", "s1", "s2"), "wanted"), words), "sets")
-    sets = stage(sets.dropDuplicates(["set_no"]), "sets")
+    wanted = stage(wanted.select("set_no", "rep", "s1", "s2"), "wanted")
+    sets = stage(_sets(docs, wanted, words).dropDuplicates(["set_no"]), "sets")
     labels = components(bucket_links(buckets, sets, percent)).withColumnRenamed("node", "set_no")
     labelled = plain.join(labels, "set_no", "left").withColumn("label", F.coalesce("label", "set_no"))
     smallest = labelled.groupBy("label").agg(F.min("rep").alias("component_id"))

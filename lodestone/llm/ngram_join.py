@@ -1,27 +1,23 @@
 """Size-aware heavy-light Jaccard join of word shingle sets, to connected components.
 
-Two sets with a Jaccard similarity of t or more and S elements in all differ in at most S(1 - t)/(1 + t) of them.
-
-Light sets are small: each enumerates its subsets of the sizes that an overlap with a partner can have, and linked
-sets enumerate a common one. Heavy sets are large, where subsets are too many: their elements are dealt by hash range
-into parts, more than there can be differences, so that linked sets agree in some part; the parts are the keys of
-inverted lists. (Lists of single shingles grow with every common phrase; a part is rarely shared by chance.) The
-boundary is the size up to which the subsets cost less than the parts and their verification. Sets near the boundary
-take both ways.
-
-Equal sets are one class from the start. Every list links its members to its first one, and the components of these
-stars bound which sets can be linked. Within a component, tasks hold blocks of sets, index their shingles and scan the
-inverted lists of one set at a time, which gives its overlap with all others: sets that the first scan joins to one
-hub need no scan of their own. Only the links of a spanning forest leave a task, never pairs. A component of more than
-a block is joined block by block, and those outside its largest group are compared with all blocks.
+Light sets are small: each enumerates its subsets of the sizes that an overlap with a partner can have, and linked sets
+enumerate a common one. Heavy sets are large, where subsets are too many: their shingles are ordered by how frequent
+they are, rare ones first, and the first n - ceil(t n) + 1 of a set of n name the inverted lists it is in; two sets whose
+similarity is t or more share one of those. Frequencies are counted over all documents in a table of fixed size by hash;
+where hashes collide the order is worse, but it is the same for all sets, so no link is lost.
+
+The boundary is the size up to which a set's subsets cost less than its lists, at the length that a list has on average
+by the counted frequencies. Sets that can be linked across it take both ways.
+
+Equal sets are one class from the start. Lists are scanned by stars (see bucket_links), and links are confirmed on full
+sets. Lists that hold the same sets are scanned once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import combinations
-from math import ceil, comb
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -29,33 +25,44 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.chunks import gather, slices
+from lodestone.llm.bucket_links import bucket_links
+from lodestone.llm.chunks import slices
 from lodestone.llm.components import components
 from lodestone.llm.shingles import mix, shingle_sets
 from lodestone.session import stage
 
 WORDS = 5
 PERCENT = 80
-#: Characters that a task works on at a time, and elements in a block of sets.
+#: Characters that a task works on at a time.
 STEP_CHARS = 4_000_000
-BLOCK_ELEMENTS = 1_000_000
 #: Words of 63 bits in the filter for the texts that are read again: 4 MB.
 FILTER_WORDS = 1 << 18
-#: Rows of a list beyond which it is dealt over several tasks.
+#: Slots of the table of frequencies: 1 MB.
+SLOTS = 1 << 18
+#: Sets of more shingles are never light: a set of that size has too many subsets at any price.
+LARGEST_LIGHT = 64
+#: Rows of a list beyond which its rows are not sorted into one task.
 HOT_ROWS = 20_000
 
 _U = np.uint64
 
 
 class Scheme:
-    """Which keys a set of a size takes, for links at ``percent`` of the union."""
+    """Which lists a set of a size is in, for links at ``percent`` of the union, if a list of a heavy set has
+    ``list_length`` sets on average."""
 
-    def __init__(self, percent: int) -> None:
+    def __init__(self, percent: int, list_length: float = 1.0) -> None:
         if not 50 <= percent <= 100:
             raise ValueError("a percentage from 50 to 100 is needed")
         self.percent = percent
-        self.light = self._boundary()
-        self.first = [self.light + 1]
+        self.light = 0
+        for n in range(1, LARGEST_LIGHT + 1):
+            if sum(comb(n, c) for c in self.subset_sizes(n)) <= self.prefix(n) * max(list_length, 1):
+                self.light = n
+
+    def least(self, n: int) -> int:
+        """The smallest overlap of a set of ``n`` with one that it is linked with, and the smallest size of that."""
+        return -(-self.percent * n // 100)
 
     def partner(self, n: int) -> int:
         """The largest size that a set of ``n`` can be linked with."""
@@ -63,79 +70,33 @@ class Scheme:
 
     def subset_sizes(self, n: int) -> list[int]:
         """The overlaps that links of a set of ``n`` need, which are the sizes of the subsets it enumerates."""
-        smallest = -(-self.percent * n // 100)
-        need = (-(-self.percent * (n + t) // (100 + self.percent)) for t in range(smallest, self.partner(n) + 1))
+        need = (-(-self.percent * (n + t) // (100 + self.percent)) for t in range(self.least(n), self.partner(n) + 1))
         return sorted({c for c in need if c <= n})
 
-    def _boundary(self) -> int:
-        n = 0
-        while True:
-            subsets = sum(comb(n + 1, c) for c in self.subset_sizes(n + 1))
-            parts = 2 * (n + 1) * (100 - self.percent) / (100 + self.percent) + 1
-            if subsets > parts + n + 1 and n:
-                return n
-            if n > 64:
-                return n
-            n += 1
-
-    def bound(self, j: int) -> int:
-        """The smallest size of heavy class ``j``."""
-        while len(self.first) <= j:
-            self.first.append(ceil(self.first[-1] * 1.5))
-        return self.first[j]
-
-    def classes(self, n: int) -> list[int]:
-        """The class of a heavy set, and the next one if partners of the set are in it."""
-        top, out, j = self.partner(n), [], 0
-        while self.bound(j) <= max(n, top):
-            if self.bound(j + 1) > n and self.bound(j) <= top:
-                out.append(j)
-            j += 1
-        return out
-
-    @lru_cache(maxsize=None)  # noqa: B019
-    def parts(self, j: int) -> tuple[int, int]:
-        """How many parts, and how many of a set may be empty without more ado. Differences spoil a part each, so one
-        more part than differences has to hold something: enough parts that the smallest set of the class reaches
-        that by four standard deviations. Sets that don't reach it take the empty parts as keys, too."""
-        differ = 2 * (self.bound(j + 1) - 1) * (100 - self.percent) // (100 + self.percent)
-        n = -(-self.bound(j) * self.percent // 100)
-        m = differ + 1
-        while m < 64 * n:
-            free = (1 - 1 / m) ** n
-            spread = m * (free - (1 + n / m) * free * free)
-            if m * (1 - free) - 4 * max(spread, 0) ** 0.5 >= differ + 1:
-                break
-            m += 1
-        return m, m - differ - 1
-
-    def keys(self, own: np.ndarray) -> np.ndarray:
+    def prefix(self, n: int) -> int:
+        """How many of the rarest shingles of a set of ``n`` name its lists."""
+        return n - self.least(n) + 1
+
+    def keys(self, own: np.ndarray, frequency: np.ndarray) -> np.ndarray:
+        """The lists that the set ``own`` (sorted hashes) is in."""
         n = len(own)
         if not n:
             return np.zeros(0, _U)
-        spread = mix(own, 77)
         out = []
         if n <= self.light:
+            spread = mix(own, 77)
             total = spread.sum(dtype=_U)
             for c in self.subset_sizes(n):
                 left_out = [spread[list(x)].sum(dtype=_U) for x in combinations(range(n), n - c)] if c < n else [_U(0)]
                 out.append(mix(total - np.array(left_out, _U), 1 + c))
         if self.partner(n) > self.light:
-            for j in self.classes(n):
-                m, empty = self.parts(j)
-                part = ((own >> _U(32)) * _U(m) >> _U(32)).astype(np.int64)
-                begin = np.flatnonzero(np.diff(part, prepend=-1))
-                content = np.add.reduceat(spread, begin) + part[begin].astype(_U) * _U(0x9E3779B97F4A7C15)
-                out.append(mix(content, 100_000 + j))
-                if m - len(begin) > empty:
-                    gone = np.setdiff1d(np.arange(m), part[begin]).astype(_U)
-                    out.append(mix(gone, 200_000 + j))
+            rare = np.argsort(frequency[_slots(own)], kind="stable")[: self.prefix(n)]
+            out.append(mix(own[rare], 100_000))
         return np.unique(np.concatenate(out))
 
 
-@lru_cache(maxsize=4)
-def scheme(percent: int) -> Scheme:
-    return Scheme(percent)
+def _slots(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> _U(46)).astype(np.int64)
 
 
 def _as_lists(arrays: list[np.ndarray]) -> pa.ListArray:
@@ -157,11 +118,40 @@ def _steps(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list]]:
         yield part, part.column(batch.schema.get_field_index("text")).to_pylist()
 
 
-def signatures(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(doc_id, n_shingles, s1, s2, keys): the set's size, two sums that stand for its content, and its list keys."""
+def frequencies(docs: DataFrame, words: int) -> np.ndarray:
+    """How many sets of all documents have a shingle in each slot. SLOTS numbers, whatever the number of documents."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            for _, texts in _steps(batch):
+                flat = np.concatenate([np.zeros(0, _U), *shingle_sets(texts, words)])
+                counts += np.bincount(_slots(flat), minlength=SLOTS)
+        slot = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(counts[slot])], ["slot", "n"])
+
+    found = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "slot long, n long")
+    rows = found.groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(SLOTS, np.int64)
+    counts[rows.column("slot").to_numpy()] = rows.column("n").to_numpy()
+    return counts
+
+
+def list_length(frequency: np.ndarray) -> float:
+    """How many sets share a shingle, seen from a shingle of a set: what slots hold beyond chance."""
+    total = float(frequency.sum())
+    if not total:
+        return 1.0
+    return max(1.0, 1 + (frequency.astype(float) ** 2).sum() / total - total / SLOTS - 1)
+
+
+def signatures(docs: DataFrame, words: int, percent: int, frequency: np.ndarray) -> DataFrame:
+    """(doc_id, n_shingles, s1, s2, keys): the set's size, two sums that stand for its content, and its lists."""
+    plan = Scheme(percent, list_length(frequency))
+    shared = docs.sparkSession.sparkContext.broadcast(frequency)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        plan = scheme(percent)
+        counted = shared.value
         for batch in batches:
             for part, texts in _steps(batch):
                 sets = shingle_sets(texts, words)
@@ -170,7 +160,7 @@ def signatures(docs: DataFrame, words: int, percent: int) -> DataFrame:
                     pa.array([len(s) for s in sets], pa.int64()),
                     _signed(sets, 11),
                     _signed(sets, 12),
-                    _as_lists([plan.keys(s) for s in sets]),
+                    _as_lists([plan.keys(s, counted) for s in sets]),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "s1", "s2", "keys"])
 
@@ -212,112 +202,50 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     return joined.mapInArrow(run, "set_no long, hashes array<long>")
 
 
-def _stars(lists: DataFrame, tasks: int) -> DataFrame:
-    """(a, b): each list's first member with each other one. ``lists`` has (key, salt, set_no); rows of a key and salt
-    meet in one task, sorted, and pass through it in batches."""
+def _shared_lists(classes: DataFrame) -> DataFrame:
+    """(key, set_no, n) of the lists with two sets or more. Rows of a key meet in one task, sorted, and pass through it
+    in batches. Lists that a sample of the sets shows to be very long have more than one set anyway and stay where they
+    are; the sample only decides on that."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None
+        names = ["key", "set_no", "n"]
+        last, shown = None, False  # the last row, and whether it went out
         for batch in batches:
-            key, salt, member = (batch.column(i).to_numpy() for i in range(3))
-            new = np.ones(len(key), bool)
-            new[1:] = (key[1:] != key[:-1]) | (salt[1:] != salt[:-1])
-            new[0] = last is None or (key[0], salt[0]) != last[:2]
-            head = np.where(new, np.arange(len(key)), -1)
-            head = np.maximum.accumulate(head)
-            first = np.where(head >= 0, member[head], last[2] if last else 0)
-            last = (key[-1], salt[-1], first[-1])
-            link = first != member
-            yield pa.RecordBatch.from_arrays([pa.array(first[link]), pa.array(member[link])], ["a", "b"])
-
-    dealt = lists.repartition(tasks, "key", "salt").sortWithinPartitions("key", "salt", "set_no")
-    return dealt.mapInArrow(run, "a long, b long").distinct()
-
-
-def _candidates(classes: DataFrame, tasks: int) -> DataFrame:
-    """Stars of all lists. A list that a sample of the sets shows to be very long is dealt over tasks by salt, and the
-    first members of its shares meet once more; the sample only decides on that."""
-    lists = classes.select(F.explode("keys").alias("key"), "set_no")
+            columns = [batch.column(k).to_numpy() for k in range(3)]
+            if not len(columns[0]):
+                continue
+            key = columns[0]
+            new = np.ones(len(key) + 1, bool)
+            new[1:-1] = key[1:] != key[:-1]
+            new[0] = last is None or last[0] != key[0]
+            if not new[0] and not shown:
+                yield pa.RecordBatch.from_arrays([pa.array([int(x)], pa.int64()) for x in last], names)
+            out = ~new[:-1] | ~new[1:]
+            last, shown = [x[-1] for x in columns], bool(out[-1])
+            yield pa.RecordBatch.from_arrays([pa.array(x[out]) for x in columns], names)
+
+    lists = classes.select(F.explode("keys").alias("key"), "set_no", F.col("n_shingles").alias("n"))
     share = 0.01
     seen = classes.sample(share, 7).select(F.explode("keys").alias("key")).groupBy("key").count()
     hot = stage(seen.where(F.col("count") >= HOT_ROWS * share).select("key"), "hot-lists")
-    if hot.isEmpty():
-        return _stars(lists.select("key", F.lit(0).alias("salt"), "set_no"), tasks)
-    salted = lists.join(hot.withColumn("hot", F.lit(True)), "key", "left")
-    salt = F.when(F.col("hot"), F.pmod(F.xxhash64("set_no"), F.lit(64)).cast("int")).otherwise(0)
-    salted = salted.select("key", salt.alias("salt"), "set_no")
-    heads = salted.join(hot, "key", "left_semi").groupBy("key", "salt").agg(F.min("set_no").alias("set_no"))
-    heads = heads.select("key", F.lit(0).alias("salt"), "set_no")
-    return _stars(salted, tasks).unionByName(_stars(heads, tasks)).distinct()
-
-
-def _forest(table: pa.Table, percent: int, hub: bool) -> pa.Table:
-    """Links of a spanning forest of the sets in ``table`` (set_no, hashes, scan). With ``hub``, sets that are joined
-    to the first one aren't scanned: any link between two groups still has an end that is."""
-    numbers, at = np.unique(table.column("set_no").to_numpy(), return_index=True)
-    table = table.take(pa.array(at))
-    lists = table.column("hashes").combine_chunks()
-    flat = lists.flatten().to_numpy().view(_U)
-    n = np.asarray(lists.value_lengths()).astype(np.int64)
-    scan = table.column("scan").to_numpy(zero_copy_only=False)
-    ends = np.cumsum(n)
-    order = np.argsort(flat, kind="stable")
-    keys, owner = flat[order], np.repeat(np.arange(len(n)), n)[order]
-    group = np.arange(len(n))
-    links: list[tuple[int, int]] = []
-    for i in range(len(n)):
-        if not scan[i] or (hub and i and group[i] == group[0]):
-            continue
-        own = flat[ends[i] - n[i] : ends[i]]
-        low, high = np.searchsorted(keys, own, "left"), np.searchsorted(keys, own, "right")
-        both = np.bincount(owner[gather(np.arange(len(keys)), low, high - low)], minlength=len(n))
-        for j in np.flatnonzero(100 * both >= percent * (n[i] + n - both)).tolist():
-            if group[j] != group[i]:
-                old, new = max(group[i], group[j]), min(group[i], group[j])
-                group[group == old] = new
-                links.append((int(numbers[i]), int(numbers[j])))
-    a, b = ([x[k] for x in links] for k in (0, 1))
-    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-
-def _scan(blocks: DataFrame, sets: DataFrame, percent: int, hub: bool) -> DataFrame:
-    """Links within each group of ``blocks`` (w, i, j, set_no, scan)."""
-    rows = blocks.join(sets, "set_no").select("w", "i", "j", "set_no", "hashes", "scan")
-    return rows.groupBy("w", "i", "j").applyInArrow(lambda t: _forest(t, percent, hub), "a long, b long")
-
-
-def _links(weak: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
-    """Links within the components ``weak`` (set_no, w, n) of the stars."""
-    sizes = weak.groupBy("w").agg(F.ceil(F.sum("n") / block).cast("int").alias("blocks"))
-    placed = weak.join(sizes, "w").withColumn("i", F.pmod(F.xxhash64("set_no"), "blocks").cast("int"))
-    placed = stage(placed, "blocks")
-    # the first block with each other one
-    targets = F.when(F.col("i") == 0, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("i"))
-    first = placed.select("w", F.lit(0).alias("i"), F.explode(targets).alias("j"), "set_no", F.lit(True).alias("scan"))
-    links = stage(_scan(first, sets, percent, True), "links")
-    large = placed.where("blocks > 1")
-    if large.isEmpty():
-        return links
-    groups = components(links).withColumnRenamed("node", "set_no")
-    large = large.join(groups, "set_no", "left").withColumn("label", F.coalesce("label", "set_no"))
-    counts = large.groupBy("w", "label").count()
-    hub = counts.groupBy("w").agg(F.max_by("label", F.struct("count", -F.col("label"))).alias("hub"))
-    rest = large.join(hub, "w").where("label <> hub")
-    shares = rest.groupBy("w").agg(F.ceil(F.sum("n") / block).cast("int").alias("shares"))
-    share = F.pmod(F.xxhash64("set_no"), "shares").cast("int")
-    all_blocks = F.sequence(F.lit(0), F.col("blocks") - 1)
-    rest = rest.join(shares, "w").select("w", share.alias("i"), F.explode(all_blocks).alias("j"), "set_no", F.lit(True).alias("scan"))
-    every = large.join(shares, "w").select(
-        "w", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("i"), F.col("i").alias("j"), "set_no",
-        F.lit(False).alias("scan"),
-    )
-    both = rest.unionByName(every).groupBy("w", "i", "j", "set_no").agg(F.max("scan").alias("scan"))
-    return links.unionByName(stage(_scan(both, sets, percent, False), "links"))
-
-
-def ngram_components(
-    docs: DataFrame, words: int = WORDS, percent: int = PERCENT, block: int = BLOCK_ELEMENTS
-) -> DataFrame:
+    rest = lists if hot.isEmpty() else lists.join(hot, "key", "left_anti")
+    found = rest.repartition("key").sortWithinPartitions("key", "set_no").mapInArrow(run, "key long, set_no long, n long")
+    return found if hot.isEmpty() else found.unionByName(lists.join(hot, "key", "left_semi"))
+
+
+def _different_lists(rows: DataFrame) -> DataFrame:
+    """``rows`` (key, set_no, n) without lists that hold the same sets as another, with the ``weight`` of each set: what
+    its lists hold together."""
+    content = rows.groupBy("key").agg(
+        F.count("*").alias("members"), F.bit_xor(F.xxhash64("set_no")).alias("c1"), F.bit_xor(F.xxhash64("set_no", F.lit(1))).alias("c2")
+    )
+    once = content.groupBy("members", "c1", "c2").agg(F.min("key").alias("key")).where("members > 1").select("key", "members")
+    rows = stage(rows.join(once, "key"), "lists")
+    weights = rows.groupBy("set_no").agg(F.sum("members").alias("weight"))
+    return stage(rows.drop("members").join(weights, "set_no").select("key", "set_no", "n", "weight"), "lists")
+
+
+def ngram_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row per row of ``docs`` (doc_id, text).
 
     Sets are those of ``words``-word shingles of the lower-cased (A-Z) words; two documents are linked if 100 times
@@ -326,19 +254,15 @@ def ngram_components(
     ``n_shingles`` 0, ``component_id`` their own id. Rows without a doc_id link like others but are never the smallest
     id; a component of only such rows has none. Rows that repeat an id are documents of their own.
     """
-    spark = docs.sparkSession
-    signed = stage(signatures(docs, words, percent), "signatures")
+    signed = stage(signatures(docs, words, percent, frequencies(docs, words)), "signatures")
     classes = signed.where("n_shingles > 0").groupBy("n_shingles", "s1", "s2")
     classes = classes.agg(F.min("doc_id").alias("rep"), F.first("keys").alias("keys"))
     classes = stage(classes.withColumn("set_no", F.monotonically_increasing_id()), "classes")
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), classes.rdd.getNumPartitions())
-    weak = stage(components(_candidates(classes, tasks)), "weak")
+    lists = _different_lists(stage(_shared_lists(classes), "shared-lists"))
     plain = classes.drop("keys")
-    members = weak.selectExpr("node AS set_no", "label AS w").join(plain, "set_no")
-    members = stage(members.withColumnRenamed("n_shingles", "n"), "members")
-    sets = stage(_sets(docs, members.select("set_no", "rep", "s1", "s2"), words), "sets")
-    links = _links(members.select("set_no", "w", "n"), sets, percent, block)
-    labels = components(links).withColumnRenamed("node", "set_no")
+    wanted = plain.join(lists.select("set_no").distinct(), "set_no", "left_semi").select("set_no", "rep", "s1", "s2")
+    sets = stage(_sets(docs, stage(wanted, "wanted"), words).dropDuplicates(["set_no"]), "sets")
+    labels = components(bucket_links(lists, sets, percent)).withColumnRenamed("node", "set_no")
     labelled = plain.join(labels, "set_no", "left").withColumn("label", F.coalesce("label", "set_no"))
     smallest = labelled.groupBy("label").agg(F.min("rep").alias("component_id"))
     labelled = labelled.join(smallest, "label").select("n_shingles", "s1", "s2", "component_id")

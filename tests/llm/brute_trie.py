@@ -1,6 +1,7 @@
 """The prefix trie of rebuilt conversations, by Python dicts."""
 
 import hashlib
+import math
 import zlib
 from collections import defaultdict
 
@@ -14,7 +15,7 @@ def rebuild(rows):
     out = {}
     for c, turns in own.items():
         h = zlib.crc32(str(c).encode()) % 9
-        out[c] = own.get(c - c % 5, [])[:h] + turns[h:]
+        out[c] = own.get(c - int(math.fmod(c, 5)), [])[:h] + turns[h:]
     return out
 
 

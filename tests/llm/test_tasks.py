@@ -56,8 +56,9 @@ def brute_components(rows, k, percent):
     return sorted(((d, len(s), least[g]) for (d, _), s, g in zip(rows, sets, group)), key=str)
 
 
-@pytest.mark.parametrize(("k", "percent", "block"), [(3, 90, 10**6), (5, 80, 10**6), (3, 90, 400)])
-def test_ngram_components(spark, k, percent, block):
+@pytest.mark.parametrize(("k", "percent", "hot"), [(3, 90, 10**6), (5, 80, 10**6), (3, 90, 0)])
+def test_ngram_components(spark, monkeypatch, k, percent, hot):
+    monkeypatch.setattr(ngram_join, "HOT_ROWS", hot)
     rng = random.Random(k)
     rows = [(100, None), (101, ""), (102, " \n"), (103, "One two"), (104, "one TWO"), (105, "one"), (None, "one two"), (None, "lone words here now")]
     base = [sentence(rng, n) for n in (8, 12, 22, 24, 60, 150, 400)]
@@ -65,26 +66,56 @@ def test_ngram_components(spark, k, percent, block):
         for e in (0, 0, 1, 1, 2, 3, 5, 8):
             rows.append((len(rows), edited(rng, text, e)))
     rows += [(5, "repeated id with other words than before"), (200, "w " * 6000)]
-    got = ngram_join.ngram_components(docs_of(spark, rows), k, percent, block).collect()
+    got = ngram_join.ngram_components(docs_of(spark, rows), k, percent).collect()
     assert sorted(map(tuple, got), key=str) == brute_components(rows, k, percent)
 
 
 def test_ngram_empty_table_and_scheme(spark):
     assert ngram_join.ngram_components(docs_of(spark, [])).count() == 0
-    plan = ngram_join.scheme(90)
-    assert plan.light == 19 and plan.subset_sizes(9) == [9]
-    assert all(plan.classes(n) or plan.partner(n) <= plan.light for n in range(1, 3000))
+    assert ngram_join.Scheme(90).light == 9 and ngram_join.Scheme(90).subset_sizes(9) == [9]
+    assert ngram_join.Scheme(90, 20.0).light > ngram_join.Scheme(90, 2.0).light > 1
+
+
+@pytest.mark.parametrize("length", [1.0, 3.0, 50.0])
+def test_linked_sets_share_a_list(length):
+    """For any boundary, and any frequencies."""
+    rng = np.random.default_rng(4)
+    for percent in (80, 90):
+        plan = ngram_join.Scheme(percent, length)
+        for n in [1, 2, 5, 8, 9, 10, 11, 12, 19, 20, 21, 25, 60, 300]:
+            for _ in range(20):
+                frequency = rng.integers(0, 4, ngram_join.SLOTS)
+                one = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+                other = np.union1d(rng.permutation(one)[: rng.integers(n * 7 // 10, n + 1)], rng.integers(0, 2**63, rng.integers(0, n // 5 + 1)).astype(np.uint64))
+                both = len(np.intersect1d(one, other))
+                if both and 100 * both >= percent * (len(one) + len(other) - both):
+                    assert len(np.intersect1d(plan.keys(one, frequency), plan.keys(other, frequency)))
+
+
+def test_shared_lists_over_batches(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    rng = random.Random(3)
+    rows = [(i, 5, [rng.randrange(40) for _ in range(2)]) for i in range(60)]
+    rows = [(i, n, sorted(set(k))) for i, n, k in rows]
+    got = ngram_join._shared_lists(spark.createDataFrame(rows, "set_no long, n_shingles long, keys array<long>")).collect()
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    count = {}
+    for _, _, keys in rows:
+        for k in keys:
+            count[k] = count.get(k, 0) + 1
+    assert sorted((r.key, r.set_no) for r in got) == sorted((k, i) for i, _, keys in rows for k in keys if count[k] > 1)
 
 
 def test_components(spark):
     rng = random.Random(1)
     edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(120)] + [(i, i + 1) for i in range(300, 340)]
-    got = dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long")).collect()))
+    found = [dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long"), n).collect())) for n in (0, 10**6)]
     label = {n: n for e in edges for n in e}
     for _ in label:
         for a, b in edges:
             label[a] = label[b] = min(label[a], label[b])
-    assert got == {n: v for n, v in label.items() if any(n in e for e in edges if e[0] != e[1])}
+    want = {n: v for n, v in label.items() if any(n in e for e in edges if e[0] != e[1])}
+    assert found == [want, want]
 
 
 # --- shared passages -------------------------------------------------------------------------------
