@@ -233,6 +233,10 @@ FROM ({ranked("blended", "score DESC, prev_rank, doc_id")}) r LEFT JOIN ({FIRST_
 SELECT r.query_id, r.rank, r.doc_id, r.score, t.title
 FROM ({ranked("m_count", "score DESC, first_term, doc_id")}) r LEFT JOIN ({titles}) t USING (doc_id)"""
 
+    search_body = f"""WITH {body}, {q}, {cosine("body")}, {best("b", "body_cos", 40)}
+SELECT b.query_id, b.rank, b.doc_id, b.score, t.text AS title
+FROM b LEFT JOIN ({FIRST_LINES}) t USING (doc_id)"""
+    half = "SELECT query_id, CASE WHEN query_id % 2 = 0 THEN text END AS text"
     return {
         "tokenize_simple": f"""
 SELECT doc_id, unnest(toks) AS term, unnest(range(len(toks))) AS pos FROM ({tokens(BODIES)})""",
@@ -266,6 +270,8 @@ FROM body_tf t JOIN body_terms w USING (term) JOIN body_norm n USING (doc_id)"""
 SELECT t.term, t.doc_id, t.tf, n.doc_len, w.df, w.term_total, round(n.norm, 5) AS norm
 FROM body_tf t JOIN body_terms w USING (term) JOIN body_norm n USING (doc_id)""",
         "anchor_append": f"""WITH {index("a", BY_TARGET)}
+SELECT term, doc_id, tf, doc_len FROM a_tf JOIN a_len USING (doc_id)""",
+        "index_compact": f"""WITH {index("a", BY_TARGET)}
 SELECT term, doc_id, tf, doc_len FROM a_tf JOIN a_len USING (doc_id)""",
         "anchor_fragments": BY_TARGET,
         "anchor_docs": f"SELECT doc_id, string_agg(text, ' ' ORDER BY text) AS text FROM ({BY_SOURCE}) GROUP BY doc_id",
@@ -282,6 +288,8 @@ SELECT term, round(ln(1 + (n_docs - df + 0.5) / (df + 0.5)), 5) AS idf FROM body
         "bm25_body": f"WITH {body}, {q}, {bm25('body')} {scores} body_bm25",
         "bm25_title": f"WITH {title}, {q}, {bm25('title')} {scores} title_bm25",
         "bm25_salted": f"WITH {body}, {q}, {bm25('body')} {scores} body_bm25",
+        "bm25_blockmax": f"""WITH {body}, {q}, {bm25("body")}, {best("b", "body_bm25", 10)}
+SELECT query_id, rank, doc_id, score FROM b""",
         "bm25_zero_length": f"WITH {body}, {q}, {bm25('body', doc_len='0')} {scores} body_bm25",
         "bm25_combined_length": f"""WITH {body}, {title}, {q},
 both_len AS (
@@ -293,9 +301,12 @@ both_len AS (
         "tfidf_query_vector": f"""WITH {body}, {q}, {vector("body")}
 SELECT query_id, term, df, round(q_weight, 5) AS q_weight FROM body_vec""",
         "tfidf_cosine": f"WITH {body}, {q}, {cosine('body')} {scores} body_cos",
-        "search_body": f"""WITH {body}, {q}, {cosine("body")}, {best("b", "body_cos", 40)}
-SELECT b.query_id, b.rank, b.doc_id, b.score, t.text AS title
-FROM b LEFT JOIN ({FIRST_LINES}) t USING (doc_id)""",
+        "search_body": search_body,
+        "search_body_stored": search_body,
+        "search_title_stored": matches(TITLE_TEXTS, QUERIES, PAGE_TITLES),
+        "search_anchor_stored": matches(BY_TARGET, LINK_QUERIES, CORPUS_TITLES),
+        "search_stored": search(both10),
+        "search_empty_queries": matches(TITLE_TEXTS, f"{half} FROM ({QUERIES})", PAGE_TITLES),
         "search_title": matches(TITLE_TEXTS, QUERIES, PAGE_TITLES),
         "search_title_normalized": f"""WITH {page}, {q}, {counts("page")},
 n_known AS (SELECT query_id, sqrt(count(*)) AS q_norm FROM q JOIN page_terms USING (term) GROUP BY query_id),
@@ -340,4 +351,20 @@ SELECT request_id, pos, id, coalesce(pagerank, 0) AS pagerank FROM asked LEFT JO
   SELECT doc_id AS request_id, unnest([doc_id, doc_id % 200, doc_id + 1, doc_id]) AS id, unnest(range(4)) AS pos
   FROM documents)
 SELECT request_id, pos, id, coalesce(views, 0) AS views FROM asked LEFT JOIN ({VIEWS}) USING (id)""",
+        "lookup_empty_lists": f"""WITH asked AS (
+  SELECT doc_id AS request_id, unnest([doc_id, doc_id + 1]) AS id, unnest(range(2)) AS pos
+  FROM documents WHERE doc_id % 2 = 0)
+SELECT request_id, pos, id, coalesce(views, 0) AS views FROM asked LEFT JOIN ({VIEWS}) USING (id)""",
+        "corpus_scan": f"""
+SELECT page_id AS id, title, length(html) AS n_chars, len(regexp_extract_all(html, {text(LINK)}, 1)) AS n_links
+FROM pages JOIN ({PAGE_TITLES}) ON doc_id = page_id WHERE page_id % 10 NOT IN (3, 4)""",
+        "corpus_rejects": """
+SELECT CASE page_id % 10 WHEN 3 THEN 'no id' ELSE 'no content' END AS reason, count(*) AS n
+FROM pages WHERE page_id % 10 IN (3, 4) GROUP BY ALL""",
+        "page_views_bz2": VIEWS,
+        "page_view_rejects": """
+SELECT 'no id' AS reason, count(*) AS n FROM events WHERE event_type NOT IN ('view', 'click') HAVING count(*) > 0""",
+        "side_tables": f"""WITH {part_ranks()}
+SELECT coalesce(t.doc_id, p.id) AS doc_id, t.text AS title, p.pagerank
+FROM ({FIRST_LINES}) t FULL JOIN part_rank p ON p.id = t.doc_id""",
     }

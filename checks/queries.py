@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 from checks import fixtures as fx
 from lodestone.functions.analyzers import analyze, extract_classes
 from lodestone.functions.stemmer import stem_tokens
-from lodestone.operators import fuse, graph, rank, termstats
+from lodestone.operators import blockmax, fuse, graph, rank, termstats
 from lodestone.operators.index import Index, build_index
 from lodestone.plans import search as plans
 from lodestone.session import scratch_dir
-from lodestone.sources import corpus, index_store
+from lodestone.sources import corpus, index_store, pageviews
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -183,6 +183,19 @@ def anchor_append(spark, sf_dir):
     return index.postings.select("term", "doc_id", "tf", "doc_len")
 
 
+@register
+def index_compact(spark, sf_dir):
+    """Links of three parts of the pages, in three generations, written as one."""
+    fragments = corpus.anchor_fragments(fx.page_corpus(spark, sf_dir))
+    part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(3))
+    _, path = _stored(spark, fragments.where(part == 0), "compacted", "simple", fragments=True)
+    for k in (1, 2):
+        index_store.append_docs(fragments.where(part == k), path)
+    index = index_store.compact_index(spark, path)
+    index_store.remove_replaced(spark, path)
+    return index.postings.select("term", "doc_id", "tf", "doc_len")
+
+
 @register
 def anchor_fragments(spark, sf_dir):
     return corpus.anchor_fragments(fx.page_corpus(spark, sf_dir))
@@ -318,6 +331,62 @@ def _link_queries(spark, sf_dir) -> DataFrame:
     return fx.page_titles(spark, sf_dir).select(F.col("doc_id").alias("query_id"), F.col("title").alias("text"))
 
 
+@register
+def bm25_blockmax(spark, sf_dir):
+    """The best ten, scoring only blocks of documents that can have them."""
+    index, _ = _stored(spark, fx.bodies(spark, sf_dir), "blocks", "simple", fx.MIN_DF_BODY)
+    return blockmax.bm25_top_k(index, fx.benchmark_queries(spark, sf_dir), 10, digits=5)
+
+
+# --- endpoints on stored indexes -------------------------------------------------------------------
+
+
+def _reopened(spark, docs: DataFrame, name: str, *args, **options) -> Index:
+    """An index of two thirds of the rows, appended by the rest and opened again."""
+    part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(3))
+    _, path = _stored(spark, docs.where(part > 0), name, *args, **options)
+    index_store.append_docs(docs.where(part == 0), path)
+    return index_store.read_index(spark, path)
+
+
+@register
+def search_stored(spark, sf_dir):
+    body = _reopened(spark, fx.bodies(spark, sf_dir), "body", "simple", fx.MIN_DF_BODY)
+    title = _reopened(spark, fx.first_lines(spark, sf_dir), "title", "simple")
+    return _search_in(spark, sf_dir, {"body": body, "title": title})
+
+
+@register
+def search_body_stored(spark, sf_dir):
+    index = _reopened(spark, fx.bodies(spark, sf_dir), "body", "simple", fx.MIN_DF_BODY, norms=True)
+    queries = fx.benchmark_queries(spark, sf_dir)
+    return plans.search_body(index, queries, fx.first_line_titles(spark, sf_dir), k=40)
+
+
+@register
+def search_title_stored(spark, sf_dir):
+    page_titles = fx.page_titles(spark, sf_dir)
+    index = _reopened(spark, page_titles.withColumnRenamed("title", "text"), "title", "simple")
+    return plans.search_title(index, fx.benchmark_queries(spark, sf_dir), page_titles)
+
+
+@register
+def search_anchor_stored(spark, sf_dir):
+    pages = fx.page_corpus(spark, sf_dir)
+    index = _reopened(spark, corpus.anchor_fragments(pages), "anchor", "simple", fragments=True)
+    return plans.search_anchor(index, _link_queries(spark, sf_dir), corpus.titles(pages))
+
+
+@register
+def search_empty_queries(spark, sf_dir):
+    """Every second query is empty, and has no rows."""
+    page_titles = fx.page_titles(spark, sf_dir)
+    index = build_index(page_titles.withColumnRenamed("title", "text"), "simple")
+    queries = fx.benchmark_queries(spark, sf_dir)
+    text = F.when(F.col("query_id") % 4 == 1, "").when(F.col("query_id") % 4 == 3, F.lit(None)).otherwise(F.col("text"))
+    return plans.search_title(index, queries.withColumn("text", text), page_titles)
+
+
 # --- fusion ----------------------------------------------------------------------------------------
 
 
@@ -365,8 +434,13 @@ def search_rich_titles(spark, sf_dir):
 
 
 def _search(spark, sf_dir, body: str, title: str) -> DataFrame:
+    indexes = {"body": body_index(spark, sf_dir, body), "title": title_index(spark, sf_dir, title)}
+    return _search_in(spark, sf_dir, indexes)
+
+
+def _search_in(spark, sf_dir, indexes: dict[str, Index]) -> DataFrame:
     found = plans.search(
-        {"body": body_index(spark, sf_dir, body), "title": title_index(spark, sf_dir, title)},
+        indexes,
         fx.benchmark_queries(spark, sf_dir),
         rounded(fx.part_pagerank(spark, sf_dir), "pagerank"),
         fx.article_views(spark, sf_dir),
@@ -416,3 +490,73 @@ def lookup_pageview(spark, sf_dir):
         key.alias("request_id"), F.array(key, F.pmod(key, F.lit(200)), key + 1, key).alias("ids")
     )
     return plans.get_pageview(requests, fx.article_views(spark, sf_dir))
+
+
+@register
+def lookup_empty_lists(spark, sf_dir):
+    """Every second list of ids is empty or null, and has no rows."""
+    key = F.col("doc_id")
+    ids = F.when(key % 4 == 1, F.array().cast("array<bigint>")).when(key % 4 != 3, F.array(key, key + 1))
+    requests = fx.table(spark, sf_dir, "documents").select(key.alias("request_id"), ids.alias("ids"))
+    return plans.get_pageview(requests, fx.article_views(spark, sf_dir))
+
+
+# --- sources ---------------------------------------------------------------------------------------
+
+
+def _corpus_files(spark, sf_dir) -> DataFrame:
+    """Pages as corpus files, some of them without an id or without any content, read from a folder that has other
+    files, too."""
+    path = f"{scratch_dir(spark)}/corpus-{uuid.uuid4().hex}"
+    key = F.col("id").cast("long")
+    pages = fx.page_corpus(spark, sf_dir).select(
+        F.when(key % 10 != 3, key).alias("id"),
+        F.when(key % 10 != 4, F.col("title")).alias("title"),
+        F.when(key % 10 != 4, F.col("text")).alias("text"),
+        F.transform("anchor_text", lambda a: F.struct(F.length(a["id"]).cast("long").alias("id"), a["text"].alias("text"))).alias("anchor_text"),
+    )
+    pages.write.parquet(path)
+    spark.range(3).selectExpr("cast(id AS string) AS value").write.mode("append").text(path)
+    return corpus.read_corpus(spark, path)
+
+
+@register
+def corpus_scan(spark, sf_dir):
+    good, _ = corpus.split_rejects(_corpus_files(spark, sf_dir))
+    return good.select("id", "title", F.length("text").cast("long").alias("n_chars"), F.size("anchor_text").cast("long").alias("n_links"))
+
+
+@register
+def corpus_rejects(spark, sf_dir):
+    _, rejects = corpus.split_rejects(_corpus_files(spark, sf_dir))
+    return rejects.groupBy("reason").agg(F.count("*").alias("n"))
+
+
+def _dump(spark, sf_dir) -> DataFrame:
+    """View lines in a dump that is compressed as the public ones are."""
+    path = f"{scratch_dir(spark)}/dump-{uuid.uuid4().hex}"
+    fx.view_lines(spark, sf_dir).coalesce(2).write.option("compression", "bzip2").text(path)
+    return pageviews.read_page_view_lines(spark, path)
+
+
+@register
+def page_views_bz2(spark, sf_dir):
+    return pageviews.page_views(_dump(spark, sf_dir))
+
+
+@register
+def page_view_rejects(spark, sf_dir):
+    return pageviews.rejected_lines(_dump(spark, sf_dir)).groupBy("reason").agg(F.count("*").alias("n"))
+
+
+@register
+def side_tables(spark, sf_dir):
+    """Titles and PageRank written, replaced and read back."""
+    root = f"{scratch_dir(spark)}/side-{uuid.uuid4().hex}"
+    found = fx.first_line_titles(spark, sf_dir), rounded(fx.part_pagerank(spark, sf_dir), "pagerank")
+    for name, table in zip(("titles", "pagerank"), found):
+        index_store.write_table(table.limit(1), f"{root}/{name}")
+        index_store.write_table(table, f"{root}/{name}")
+        index_store.remove_old_versions(spark, f"{root}/{name}")
+    titles, ranks = (index_store.read_table(spark, f"{root}/{name}") for name in ("titles", "pagerank"))
+    return titles.join(ranks.withColumnRenamed("id", "doc_id"), "doc_id", "full")

@@ -23,6 +23,7 @@ class Index:
     meta: one row n_docs, avg_len
     counted: where postings are still to be filtered, those of all terms: the terms of queries are looked up in the
         dictionary anyway, so rankers need no filter
+    block_impacts: term, block, max_tf, min_len (and bucket, when stored), a row for each part of a block's postings
     """
 
     analyzer: str | Analyzer
@@ -32,6 +33,15 @@ class Index:
     meta: DataFrame
     n_buckets: int | None = None
     counted: DataFrame | None = None
+    block_impacts: DataFrame | None = None
+
+    @property
+    def impacts(self) -> DataFrame:
+        """``(term, block, max_tf, min_len)``, and bucket: one row per term and block of documents."""
+        rows, keys = self.block_impacts, ["term", "block", *(["bucket"] if self.n_buckets else [])]
+        if rows is None:
+            return impacts(self.postings if self.counted is None else self.counted, keys)
+        return rows.groupBy(*keys).agg(F.max("max_tf").alias("max_tf"), F.min("min_len").alias("min_len"))
 
     @property
     def n_docs(self) -> Column:
@@ -46,19 +56,34 @@ class Index:
         return replace(self, analyzer=spec)
 
 
+#: Documents whose lengths differ by up to the square root of 2 can share a block; so many blocks hold them.
+LENGTH_STEPS, BLOCKS_PER_LENGTH = 2, 1 << 10
+
+
+def doc_block(doc_id: Column, doc_len: Column) -> Column:
+    """The block of a document. It depends on the document alone, so that indexes can grow."""
+    step = F.floor(F.log2(F.greatest(doc_len, F.lit(1)) + 0.0) * LENGTH_STEPS).cast("int")
+    return (step * BLOCKS_PER_LENGTH + F.pmod(F.xxhash64(doc_id), F.lit(BLOCKS_PER_LENGTH))).cast("int")
+
+
+def impacts(postings: DataFrame, keys: list[str]) -> DataFrame:
+    rows = postings.withColumn("block", doc_block(F.col("doc_id"), F.col("doc_len")))
+    return rows.groupBy(*keys).agg(F.max("tf").alias("max_tf"), F.min("doc_len").alias("min_len"))
+
+
 def keep_terms(doc_terms: DataFrame, terms: DataFrame, min_df: int) -> DataFrame:
     """Postings of the kept terms. The dictionary has one row per term, so a frequent term skews only the
     postings side, which adaptive execution splits when the dictionary is too large to broadcast."""
     return doc_terms.join(terms.select("term"), "term", "left_semi") if min_df > 0 else doc_terms
 
 
-def doc_norms(doc_terms: DataFrame, terms: DataFrame, lengths: DataFrame) -> DataFrame:
-    """``(doc_id, doc_len, norm)``: L2 norm of the TF-IDF weights of a document's kept terms, 0 if it has none."""
+def doc_norms(postings: DataFrame, lengths: DataFrame) -> DataFrame:
+    """``(doc_id, doc_len, norm)``: L2 norm of the TF-IDF weights of a document's ``postings`` (doc_id, tf, doc_len, df),
+    those of the kept terms; 0 if it has none."""
     n_docs = lengths.agg(F.count("*")).scalar()
     weight = tfidf(F.col("tf"), F.col("doc_len"), n_docs, F.col("df"))
     norms = (
-        doc_terms.join(terms.select("term", "df"), "term")
-        .select("doc_id", weight.alias("w"))
+        postings.select("doc_id", weight.alias("w"))
         .groupBy("doc_id")
         .agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     )
@@ -90,6 +115,6 @@ def build_index(
     terms = keep(termstats.dictionary(counted, min_df), "terms")
     stats = termstats.doc_lengths(counted)
     if norms:
-        stats = keep(doc_norms(counted, terms, stats), "doc-norms")
+        stats = keep(doc_norms(counted.join(terms.select("term", "df"), "term"), stats), "doc-norms")
     meta = keep(termstats.collection_stats(stats), "meta")
     return Index(analyzer, keep_terms(counted, terms, min_df), terms, stats, meta, counted=counted)

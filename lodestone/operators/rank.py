@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestone.functions.weights import bm25_idf, bm25_term, ratio, tfidf
-from lodestone.operators.index import Index
+from lodestone.operators.index import Index, doc_block
 from lodestone.operators.termstats import combined_lengths, counted_tokens
 from lodestone.session import stage
 
@@ -32,25 +32,36 @@ def known_query_terms(index: Index, queries: DataFrame) -> DataFrame:
     return query_terms(queries, index.analyzer).join(index.terms.select("term", "df"), "term")
 
 
-def candidates(index: Index, q_terms: DataFrame, salt_rows: int | None = None) -> DataFrame:
-    """Postings of the query terms: q_terms joined with postings on term.
+def candidates(
+    index: Index, q_terms: DataFrame, salt_rows: int | None = None, keys: list[str] | None = None
+) -> DataFrame:
+    """Postings of the query terms: q_terms joined with postings on term, and on further ``keys`` such as block.
 
     The query terms are written first, so that their size is known when the join is planned: if it is below
     ``spark.sql.autoBroadcastJoinThreshold`` they are broadcast and the postings are read in place, without the
     shuffle that an unknown size would start. Of a stored index only the buckets of the query terms are read, however
-    many these are; there are at most ``n_buckets`` to name in the filter.
+    many these are; there are at most ``n_buckets`` to name in the filter. Up to NAMED_TERMS terms are named, too, so
+    that in these buckets only the pages are read that can have one.
 
     Larger batches meet by shuffle, where adaptive execution splits skewed terms. With ``salt_rows`` the split is
     explicit: a term in more than that many documents is divided by document into ``ceil(df / salt_rows)`` parts,
     each of which gets its own copy of the query rows.
     """
-    postings, keys = index.postings if index.counted is None else index.counted, ["term"]
+    postings, keys = index.postings if index.counted is None else index.counted, ["term", *(keys or [])]
+    if "block" in keys and "block" not in postings.columns:
+        postings = postings.withColumn("block", doc_block(F.col("doc_id"), F.col("doc_len")))
     if index.n_buckets:
         q_terms = q_terms.withColumn("bucket", term_bucket(F.col("term"), index.n_buckets))
         keys.append("bucket")
     q_terms = stage(q_terms, "query-terms")
     if index.n_buckets:
-        asked = sorted(row["bucket"] for row in q_terms.select("bucket").distinct().collect())
+        terms = q_terms.select("bucket", "term").distinct()
+        named = [tuple(row) for row in terms.limit(NAMED_TERMS + 1).collect()]
+        if len(named) <= NAMED_TERMS:
+            asked = sorted({bucket for bucket, _ in named})
+            postings = postings.where(named_in("term", sorted(term for _, term in named)))
+        else:
+            asked = sorted(row["bucket"] for row in terms.select("bucket").distinct().collect())
         postings = postings.where(F.col("bucket").isin(asked))
     if salt_rows:
         parts = F.ceil(F.col("df") / salt_rows)
@@ -62,11 +73,26 @@ def candidates(index: Index, q_terms: DataFrame, salt_rows: int | None = None) -
     return postings.join(q_terms, keys)
 
 
+#: So many terms are named in the filter of a scan; rows don't depend on it.
+NAMED_TERMS = 1000
+#: Longer lists of values reach the scan as a range only (``spark.sql.parquet.pushdown.inFilterThreshold``).
+_EXACT = 10
+
+
+def named_in(column: str, values: list[str]) -> Column:
+    """Membership in a list of any length, in short lists that scans compare with the statistics of their pages."""
+    parts = [F.col(column).isin(values[i : i + _EXACT]) for i in range(0, len(values), _EXACT)]
+    while len(parts) > 1:
+        parts = [a | b for a, b in zip(parts[::2], parts[1::2])] + parts[len(parts) & ~1 :]
+    return parts[0] if parts else F.lit(False)
+
+
 def term_bucket(term: Column, n_buckets: int) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(n_buckets)).cast("int")
 
 
-def _score(pairs: DataFrame, value: Column, kind: str = "double") -> DataFrame:
+def score_sums(pairs: DataFrame, value: Column, kind: str = "double") -> DataFrame:
+    """``(query_id, doc_id, score, first_term)`` from the value of each matching term."""
     return pairs.groupBy("query_id", "doc_id").agg(
         F.sum(value).cast(kind).alias("score"), F.min("term_no").alias("first_term")
     )
@@ -103,7 +129,7 @@ def bm25(
     pairs = candidates(index, q_terms, salt_rows)
     if lengths is not None:
         pairs = pairs.drop("doc_len").join(lengths, "doc_id")
-    return _score(pairs, bm25_term(F.col("idf"), F.col("tf"), doc_len, avg_len, k1, b))
+    return score_sums(pairs, bm25_term(F.col("idf"), F.col("tf"), doc_len, avg_len, k1, b))
 
 
 def query_vector(index: Index, queries: DataFrame) -> DataFrame:
@@ -141,7 +167,7 @@ def match_count(
     query vector and of the document."""
     q_terms = known_query_terms(index, queries).select("query_id", "term", "term_no", "df")
     if not normalize:
-        return _score(candidates(index, q_terms, salt_rows), F.lit(1), "long")
+        return score_sums(candidates(index, q_terms, salt_rows), F.lit(1), "long")
     q_terms = q_terms.withColumn("q_norm", F.sqrt(F.count("*").over(Window.partitionBy("query_id"))))
     counts = (
         candidates(index, q_terms, salt_rows)
@@ -182,25 +208,21 @@ def top_k(scored: DataFrame, k: int, digits: int | None = None) -> DataFrame:
 def rank_all(scored: DataFrame, digits: int | None = None, partitions: int | None = None) -> DataFrame:
     """The same for every row, without gathering a query in one task.
 
-    Rows are range-partitioned in rank order and written; a row's rank is its place within its slice plus the
-    number of the query's rows in earlier slices.
+    Rows are range-partitioned and sorted in rank order, numbered in place and written. A row's rank is its number less
+    the first one of its query in its slice, plus the rows of the query in earlier slices: one row for each query in
+    a slice, which is joined without another shuffle of the ranked rows while it is small.
     """
     if digits is not None:
         scored = scored.withColumn("score", F.round("score", digits))
     order = _order(scored)
     n = partitions or int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sliced = stage(
-        scored.repartitionByRange(n, "query_id", *order).withColumn("slice", F.spark_partition_id()), "ranked"
-    )
+    sliced = scored.repartitionByRange(n, "query_id", *order).sortWithinPartitions("query_id", *order)
+    sliced = sliced.withColumns({"slice": F.spark_partition_id(), "number": F.monotonically_increasing_id()})
+    sliced = stage(sliced, "ranked")
     earlier = Window.partitionBy("query_id").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        sliced.groupBy("query_id", "slice")
-        .agg(F.count("*").alias("n"))
-        .select("query_id", "slice", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
-    )
-    within = Window.partitionBy("query_id", "slice").orderBy(*order)
-    return (
-        sliced.withColumn("place", F.row_number().over(within))
-        .join(offsets, ["query_id", "slice"])
-        .select("query_id", (F.col("offset") + F.col("place")).alias("rank"), "doc_id", "score", *_kept(scored))
+    offsets = sliced.groupBy("query_id", "slice").agg(F.count("*").alias("n"), F.min("number").alias("first"))
+    before = F.coalesce(F.sum("n").over(earlier), F.lit(0)) + 1 - F.col("first")
+    offsets = stage(offsets.select("query_id", "slice", before.alias("offset")), "offsets")
+    return sliced.join(offsets, ["query_id", "slice"]).select(
+        "query_id", (F.col("number") + F.col("offset")).alias("rank"), "doc_id", "score", *_kept(scored)
     )

@@ -47,6 +47,12 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """What the files below a folder take, on whatever store it is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write a result that several later steps read, and continue from the written table: the work is done
     once, survives lost executors, and is read back column by column."""

@@ -30,6 +30,13 @@ def read_corpus(spark: SparkSession, *paths: str, schema: T.StructType | None =
     return corpus
 
 
+def split_rejects(corpus: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The usable rows, and the others with a ``reason``: rows without an id, and rows with neither title nor text."""
+    empty = F.col("title").isNull() & F.col("text").isNull()
+    reason = F.when(F.col("id").isNull(), "no id").when(empty, "no content")
+    return corpus.where(reason.isNull()), corpus.withColumn("reason", reason).where(F.col("reason").isNotNull())
+
+
 def spread(docs: DataFrame, key: str) -> DataFrame:
     """Hash the rows of a scan over the cores when its files have fewer splits than there are cores (a few large
     row groups); a scan with enough splits is left as it is and not shuffled."""

@@ -26,3 +26,18 @@ def page_views(lines: DataFrame, project: str = "en.wikipedia") -> DataFrame:
         .groupBy("id")
         .agg(F.sum("views").alias("views"))
     )
+
+
+def rejected_lines(lines: DataFrame, project: str = "en.wikipedia") -> DataFrame:
+    """The project's lines that :func:`page_views` skips, with a ``reason``: too few fields, no id (of digits that fit
+    64 bits), or no count."""
+    fields = F.split("value", " ")
+
+    def number(field: int):
+        text = F.get(fields, F.lit(field))
+        return F.when(text.rlike(r"^[0-9]+$"), text.try_cast("long"))
+
+    reason = F.when(F.size(fields) < 5, "too few fields").when(number(2).isNull(), "no id")
+    reason = reason.when(number(4).isNull(), "no count")
+    rows = lines.where(F.col("value").startswith(project)).withColumn("reason", reason)
+    return rows.where(F.col("reason").isNotNull())
