@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from lodestone.llm.common import small, tail
 from lodestone.session import stage
 
-#: Words in a window, and the share of an item's windows that have to occur in a document.
+#: Words in a window, and the share of an item's windows that have to occur in a document. A shorter item is one window.
 WINDOW = 5
 MIN_COVERAGE = 0.5
 #: Windows of fewer words that are no placeholders say nothing.
@@ -47,32 +47,48 @@ def template_words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), NO_WORD), lambda w: w != "")
 
 
-def _windows(rows: DataFrame, key: str) -> DataFrame:
-    """(key, pos, window, slots): the hash of each window's template, and its values joined by a bar."""
-    frame = rows.select(
-        F.col(key).alias("key"), template_words(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("w")
-    )
+def _words(rows: DataFrame, key: str) -> DataFrame:
+    """(key, w): the template words of each text."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return rows.select(F.col(key).alias("key"), template_words(text).alias("w"))
+
+
+def _windows(frame: DataFrame, lengths: list[int], whole: bool = False) -> DataFrame:
+    """(key, pos, window, slots) of ``frame`` (key, w): the hash of each window's template, and its values. Windows have
+    WINDOW words, and as many as the smaller numbers in ``lengths``; ``whole`` takes these of texts of that size only."""
     frame = frame.withColumn("slotted", F.exists("w", lambda w: w.startswith("‹")))
     kind = lambda w: F.when(w.startswith("‹"), F.substring_index(w, "…", 1)).otherwise(w)
     hashed = F.when(F.col("slotted"), F.transform("w", lambda w: F.xxhash64(kind(w)))).otherwise(
         F.transform("w", lambda w: F.xxhash64(w))
     )
     pair = lambda a, b: F.xxhash64(a, b)
-    frame = frame.withColumn("h1", hashed).withColumn("h2", F.zip_with("h1", tail(F.col("h1"), 1), pair))
-    frame = frame.withColumn("h4", F.zip_with("h2", tail(F.col("h2"), 2), pair))
-    h5 = F.zip_with("h4", tail(F.col("h1"), 4), pair)
-    frame = frame.withColumn("h5", F.slice(h5, F.lit(1), F.greatest(F.size("w") - (WINDOW - 1), F.lit(0))))
 
-    def slots(i: Column) -> Column:
-        return F.filter(F.slice("w", i + 1, WINDOW), lambda w: w.startswith("‹"))
+    def joined(left: str, skip: int, right: str) -> Column:
+        return F.zip_with(left, tail(F.col(right), skip), pair)
 
+    frame = frame.withColumn("h1", hashed).withColumn("h2", joined("h1", 1, "h1"))
+    frame = frame.withColumn("h4", joined("h2", 2, "h2")).withColumn("h5", joined("h4", 4, "h1"))
+    if 3 in lengths:
+        frame = frame.withColumn("h3", joined("h2", 2, "h1"))
     empty = F.array().cast("array<string>")
-    each = F.when(
-        F.col("slotted"), F.transform("h5", lambda h, i: F.struct(h.alias("window"), slots(i).alias("slots")))
-    ).otherwise(F.transform("h5", lambda h: F.struct(h.alias("window"), empty.alias("slots"))))
-    frame = frame.select("key", F.posexplode(each).alias("pos", "x"))
-    frame = frame.select("key", "pos", "x.window", "x.slots")
-    return frame.where(F.size("slots") <= WINDOW - MIN_PLAIN)
+
+    def each(n: int) -> Column:
+        """The windows of ``n`` words."""
+        hashes = F.slice(f"h{n}", F.lit(1), F.greatest(F.size("w") - (n - 1), F.lit(0)))
+        if whole and n < WINDOW:
+            hashes = F.when(F.size("w") == n, hashes).otherwise(F.array().cast("array<bigint>"))
+
+        def slots(i: Column) -> Column:
+            return F.filter(F.slice("w", i + 1, n), lambda w: w.startswith("‹"))
+
+        fields = lambda h, i, s: F.struct(i.alias("pos"), h.alias("window"), s.alias("slots"), F.lit(n).alias("n"))
+        return F.when(F.col("slotted"), F.transform(hashes, lambda h, i: fields(h, i, slots(i)))).otherwise(
+            F.transform(hashes, lambda h, i: fields(h, i, empty))
+        )
+
+    parts = [each(n) for n in sorted({WINDOW, *lengths})]
+    frame = frame.select("key", F.inline(F.concat(*parts) if len(parts) > 1 else parts[0]))
+    return frame.where(F.size("slots") <= F.col("n") - MIN_PLAIN).drop("n")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, min_coverage: float = MIN_COVERAGE) -> DataFrame:
@@ -80,40 +96,47 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, min_coverage: float = M
     that ``docs`` (doc_id, text) contain.
 
     ``n_windows`` of the item's ``item_windows`` different window positions occur in the document, at least
-    ``min_coverage`` of them. Windows count along one diagonal (place in the document minus place in the item), and
-    only if a value of the item meets the same value of the document at each of its places there; ``n_slots``
-    counts the values met, and ``same_values`` tells if all are the item's own.
-
-    Items with fewer than five words, null texts and empty texts have no windows and match nothing. Repeated items
-    give a row each if their ids differ; rows that share a doc_id (or have none) are judged as one document.
+    ``min_coverage`` of them. Windows are judged along one diagonal (place in the document minus place in the item). A
+    value of the item stands for the value of the document that it meets most often there (the larger of equals);
+    windows that have it meet another one don't count. ``n_slots`` counts the values met, and ``same_values`` tells if
+    all stand for themselves.
+
+    An item of two to four words is one window. Null texts, empty texts and items of fewer than two words that are no
+    placeholders have no windows and match nothing. Repeated items give a row each if their ids differ; rows that share
+    a doc_id (or have none) are judged as one document.
     """
-    items = stage(_windows(benchmark, "item_id"), "benchmark-windows")
+    item_words = stage(_words(benchmark, "item_id"), "benchmark-words")
+    short = item_words.select(F.size("w").alias("n")).where(F.col("n").between(MIN_PLAIN, WINDOW - 1)).distinct()
+    lengths = [row.n for row in short.collect()]
+    items = stage(_windows(item_words, lengths, whole=True), "benchmark-windows")
     sizes = items.groupBy("key").agg(F.countDistinct("pos").alias("item_windows"))
     wanted = items.select(
         F.col("key").alias("item_id"), F.col("pos").alias("item_pos"), "window", F.col("slots").alias("item_slots")
     )
     known = small(stage(items.select("window").distinct(), "benchmark-hashes"))
-    found = stage(_windows(docs, "doc_id").join(known, "window", "left_semi"), "benchmark-hits")
+    found = stage(_windows(_words(docs, "doc_id"), lengths).join(known, "window", "left_semi"), "benchmark-hits")
     hits = found.join(wanted, "window").withColumn("diagonal", F.col("pos") - F.col("item_pos"))
     pairs = hits.select(
         F.col("key").alias("doc_id"), "item_id", "diagonal", "item_pos", F.arrays_zip("item_slots", "slots").alias("z")
     )
     where = ["doc_id", "item_id", "diagonal"]
-    met = pairs.select(*where, F.explode("z").alias("s")).select(*where, "s.item_slots", "s.slots").distinct()
-    values = met.groupBy(*where, "item_slots").agg(
-        F.count("*").alias("n"), F.min(F.col("item_slots") == F.col("slots")).alias("own")
-    )
-    values = values.groupBy(*where).agg(
-        (F.max("n") == 1).alias("consistent"), F.count("*").alias("n_slots"), F.min("own").alias("own")
-    )
-    lined = pairs.groupBy(*where).agg(F.collect_set("item_pos").alias("places"))
-    left, right = lined.alias("l"), values.alias("v")
-    on = [F.col(f"l.{c}").eqNullSafe(F.col(f"v.{c}")) for c in where]
-    joined = left.join(right, on[0] & on[1] & on[2], "left").where(F.coalesce("v.consistent", F.lit(True)))
-    covered = joined.select(
-        "l.doc_id", "l.item_id", "l.places", F.coalesce("v.n_slots", F.lit(0)).alias("n_slots"),
-        F.coalesce("v.own", F.lit(True)).alias("own"),
+    met = pairs.select(*where, F.explode("z").alias("s")).groupBy(*where, "s.item_slots", "s.slots")
+    met = met.agg(F.count("*").alias("n"))
+    stands = met.groupBy(*where, "item_slots").agg(F.max(F.struct("n", "slots")).alias("most"))
+    values = stands.groupBy(*where).agg(
+        F.map_from_entries(F.collect_list(F.struct("item_slots", "most.slots"))).alias("values"),
+        F.count("*").alias("n_slots"), F.min(F.col("item_slots") == F.col("most.slots")).alias("own"),
     )
+    plain = pairs.where(F.size("z") == 0).select(*where, "item_pos")
+    slotted = pairs.where(F.size("z") > 0).alias("l")
+    on = [F.col(f"l.{c}").eqNullSafe(F.col(f"v.{c}")) for c in where]
+    fits = F.forall("z", lambda s: F.col("values")[s["item_slots"]] == s["slots"])
+    slotted = slotted.join(values.alias("v"), on[0] & on[1] & on[2]).where(fits)
+    slotted = slotted.select(*[f"l.{c}" for c in where], "item_pos", "n_slots", "own")
+    lined = plain.withColumns({"n_slots": F.lit(0).cast("long"), "own": F.lit(True)}).unionByName(slotted)
+    covered = lined.groupBy(*where).agg(
+        F.collect_set("item_pos").alias("places"), F.max("n_slots").alias("n_slots"), F.min("own").alias("own")
+    )
     covered = covered.groupBy("doc_id", "item_id").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long").alias("n_windows"),
         F.sum("n_slots").alias("n_slots"),
