@@ -1,7 +1,8 @@
 """Personal data: fixed patterns, and contextual patterns that are bootstrapped from what the fixed ones find.
 
-The entities of the fixed patterns are seeds. A seed's context (the word before it, and the shape of the token) is a
-lexical pattern. Patterns and the identifier-like tokens they surround form a bipartite graph, on which scores go to
+The entities of the fixed patterns are seeds, and so are long hexadecimal keys, for a kind that has no fixed pattern of
+its own. A seed's contexts (the word before it, the two words before it, the word after it), each with the shape of the
+token, are lexical patterns. Patterns and the identifier-like tokens they surround form a bipartite graph, on which scores go to
 and fro: a pattern's confidence in a kind is the mean score of its tokens that are decided, which seeds are and tokens
 with a score; a token's score follows from the confident patterns around any of its occurrences. Tokens in a confident pattern are found as identifiers of its kind, though no
 fixed pattern matches them.
@@ -20,6 +21,12 @@ from pyspark.sql import functions as F
 from lodestone.session import stage
 
 KINDS = ("email", "ip", "card", "phone")
+#: With the kind that only seeds and patterns find: keys and tokens that give access.
+ALL_KINDS = (*KINDS, "secret")
+SECRET = len(KINDS)
+#: A key that is a seed, and what else can be one.
+HEX_KEY = r"^(?=.*[0-9])(?=.*[A-Fa-f])[0-9A-Fa-f]{32,}$"
+KEY = r"^(?=.*[0-9])(?=.*[A-Za-z])[A-Za-z0-9_+/=-]{16,}$"
 
 #: The fixed patterns. Local parts, addresses and numbers can't start within a run of their own characters unless the
 #: run was cut by the match before, and nothing is given back, so that matching is linear; matches are the same.
@@ -110,26 +117,34 @@ def base_spans(docs: DataFrame) -> DataFrame:
 
 
 def _tokens(text: Column) -> Column:
-    """The tokens (s, e, v, left): ``left`` is the word before, in lower case and with its digits as 0; ^ at the
-    start of the text."""
+    """The tokens (s, e, v, left, left2, right): one and two words before, and the word after, in lower case and with
+    digits as 0; ^ and $ at the ends of the text."""
     found, gaps = occurrences(text, TOKEN), F.split(text, TOKEN, -1)
 
-    def before(m: Column, i: Column) -> Column:
-        gap = F.rtrim(F.translate(F.get(gaps, i), "\t\n\x0b\x0c\r", "     "))
-        last = F.substring_index(gap, " ", -1)
+    def plain(gap: Column) -> Column:
+        return F.trim(F.translate(gap, "\t\n\x0b\x0c\r", "     "))
+
+    def word(x: Column) -> Column:
+        return F.lower(F.regexp_replace(x, "[0-9]+", "0"))
+
+    def context(m: Column, i: Column) -> Column:
+        gap, after = plain(F.get(gaps, i)), plain(F.get(gaps, i + 1))
         token_before = F.coalesce(F.get(found, i - 1)["v"], F.lit("^"))
-        word = F.when(last == "", token_before).otherwise(last)
+        token_after = F.coalesce(F.get(found, i + 1)["v"], F.lit("$"))
+        left = F.when(gap == "", token_before).otherwise(F.substring_index(gap, " ", -1))
+        left2 = F.when(gap.contains(" "), F.substring_index(gap, " ", -2)).otherwise(F.concat_ws(" ", token_before, gap))
+        right = F.when(after == "", token_after).otherwise(F.substring_index(after, " ", 1))
         return F.struct(
             m["s"].alias("s"), m["e"].alias("e"), m["v"].alias("v"),
-            F.lower(F.regexp_replace(word, "[0-9]+", "0")).alias("left"),
+            word(left).alias("left"), word(left2).alias("left2"), word(right).alias("right"),
         )
 
-    return F.transform(found, before)
+    return F.transform(found, context)
 
 
 def _occurrences_of_tokens(base: DataFrame) -> DataFrame:
-    """One row per token: its bare value (without punctuation around it) and place, its shape, its pattern, and the
-    kind of the base span that starts in it; tokens within or across a base span are left out."""
+    """One row per token and pattern: its bare value (without punctuation around it) and place, the pattern, and the
+    kind of the base span that starts in it, or of a key; tokens within or across a base span are left out."""
     rows = base.where(F.size("tokens") > 0).select("doc_id", "text_key", "base", F.explode("tokens").alias("t"))
     touching = F.filter("base", lambda b: (b["s"] < F.col("t.e")) & (b["e"] > F.col("t.s")))
     rows = rows.select("doc_id", "text_key", "t.*", touching.alias("touching"))
@@ -138,37 +153,48 @@ def _occurrences_of_tokens(base: DataFrame) -> DataFrame:
     rows = rows.where(F.size("touching").eqNullSafe(0) | seed)
     skip = F.char_length(F.regexp_extract("v", r"^[^\p{L}\p{N}+@]*", 0))
     bare = F.regexp_replace(F.regexp_replace("v", r"^[^\p{L}\p{N}+@]+", ""), r"(?<=[\p{L}\p{N}])[^\p{L}\p{N}]+$", "")
-    rows = rows.withColumns({"kind": F.when(F.size("touching") > 0, first["k"]), "bare": bare, "skip": skip})
+    key = F.col("touching_size").eqNullSafe(0) & F.col("bare").rlike(HEX_KEY)
+    rows = rows.withColumns({"bare": bare, "skip": skip, "touching_size": F.size("touching")})
+    rows = rows.withColumn("kind", F.when(F.col("touching_size") > 0, first["k"]).when(key, SECRET))
     digits = F.char_length(_digits(F.col("bare")))
     number = F.col("bare").rlike(r"^[+(]?[0-9][0-9().+/-]*$") & (digits >= MIN_DIGITS)
-    shape = F.when(F.col("kind").isNotNull(), F.when(F.col("kind") == 0, "at").otherwise("number"))
-    shape = F.coalesce(shape, F.when(F.col("bare").rlike(r"^[^@]+@[^@]+$"), "at").when(number, "number"))
+    shape = F.when(F.col("kind") == SECRET, "key").when(F.col("kind") == 0, "at").when(F.col("kind").isNotNull(), "number")
+    shape = F.coalesce(
+        shape,
+        F.when(F.col("bare").rlike(r"^[^@]+@[^@]+$"), "at").when(number, "number").when(F.col("bare").rlike(KEY), "key"),
+    )
     start = F.col("s") + F.col("skip")
+    patterns = F.array(*[F.concat_ws(" ", F.lit(c), "shape", c) for c in ("left", "left2", "right")])
     return rows.withColumn("shape", shape).where(F.col("shape").isNotNull()).select(
         "doc_id", "text_key", start.alias("s"), (start + F.char_length("bare")).alias("e"),
-        F.lower(F.when(F.col("kind").isNull(), F.col("bare")).otherwise(first["v"])).alias("value"), "kind", F.concat_ws(" ", "shape", "left").alias("pattern"),
+        F.lower(F.when(F.col("touching_size") > 0, first["v"]).otherwise(F.col("bare"))).alias("value"), "kind",
+        F.explode(patterns).alias("pattern"),
     )
 
 
 def _never(value: Column, kind: Column) -> Column:
-    """Whether a token is no identifier of a kind: a number as long as cards, which isn't one, or too long for phones."""
+    """Whether a token is no identifier of a kind: a number as long as cards, which isn't one, or too long for phones, or
+    without the four parts of addresses."""
     n = F.char_length(_digits(value))
-    return ((kind == 2) & (n >= 14) & (n <= 19)) | ((kind == 3) & (n > 15))
+    wrong = ((kind == 2) & (n >= 14) & (n <= 19)) | ((kind == 3) & (n > 15))
+    return wrong | ((kind == 1) & ~value.rlike(r"^[0-9]+(\.[0-9]+){3}$"))
 
 
 def confident_patterns(tokens: DataFrame, min_confidence: float, min_seeds: int, rounds: int) -> DataFrame:
-    """(pattern, kind): ``rounds`` times, patterns are scored by their tokens and tokens by their patterns.
+    """(pattern, kind, confidence): ``rounds`` times, patterns are scored by their tokens and tokens by their patterns.
 
     A token is one value in one pattern, counted once however often it occurs; a seed scores 1 for its kind and 0
     for others. Another token's score for a kind is 1 - Π(1 - confidence) over the confident patterns around its value,
     of the round before; as long as it has none for any kind it is undecided, and no evidence against a kind unless its
-    digits rule the kind out. A pattern
+    digits rule the kind out. (Nothing rules a key out, so that every value counts for secrets.) A pattern
     needs scores of ``min_seeds`` in all, from seeds or from tokens that rounds before have found.
     """
     edges = stage(tokens.groupBy("pattern", "value").agg(F.min("kind").alias("seed")), "pii-edges")
     scores = edges.where("seed IS NOT NULL").select("pattern", "value", F.col("seed").alias("kind"), F.lit(1.0).alias("score"))
-    kinds = F.explode(F.array(F.lit(2), F.lit(3))).alias("kind")
-    ruled_out = edges.where("seed IS NULL").select("pattern", "value", kinds).where(_never(F.col("value"), F.col("kind")))
+    kinds = F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))).alias("kind")
+    ruled_out = edges.where("seed IS NULL AND split(pattern, ' ')[1] = 'number'").select("pattern", "value", kinds).where(_never(F.col("value"), F.col("kind")))
+    keys = edges.where("seed IS NULL AND split(pattern, ' ')[1] = 'key'")
+    ruled_out = ruled_out.unionByName(keys.select("pattern", "value", F.lit(SECRET).alias("kind")))
     found = scores
     for _ in range(rounds):
         scored = found.groupBy("pattern", "kind").agg(F.sum("score").alias("score"))
@@ -183,16 +209,17 @@ def confident_patterns(tokens: DataFrame, min_confidence: float, min_seeds: int,
         by_value = around.agg(F.product(1 - F.col("confidence")).alias("miss"))
         unseen = edges.where("seed IS NULL").join(by_value, "value").where(~_never(F.col("value"), F.col("kind")))
         found = scores.unionByName(unseen.select("pattern", "value", "kind", (1 - F.col("miss")).alias("score")))
-    best = confident.groupBy("pattern").agg(F.max_by("kind", F.struct("confidence", -F.col("kind"))).alias("kind"))
-    return best
+    best = confident.groupBy("pattern").agg(F.max(F.struct("confidence", (-F.col("kind")).alias("k"))).alias("b"))
+    return best.select("pattern", (-F.col("b.k")).alias("kind"), "b.confidence")
 
 
 def find_pii(
     docs: DataFrame, min_confidence: float = MIN_CONFIDENCE, min_seeds: int = MIN_SEEDS, rounds: int = ROUNDS
 ) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): (doc_id, text_key, base, spans). ``base`` and ``spans`` are arrays
-    of (s, k, e), sorted: start, kind (place in KINDS) and end in code points, end exclusive. ``spans`` holds the base
-    spans and those that confident patterns add; the latter touch no base span.
+    of (s, k, e), sorted: start, kind (place in ALL_KINDS) and end in code points, end exclusive. ``spans`` holds the base
+    spans, keys, and what confident patterns add, each of the kind of its most confident pattern; the latter touch no
+    base span.
 
     A null text counts as empty and has no spans. Rows that share doc_id and text (null ids included) get the same
     spans. Without seeds, nothing is added. Other columns of ``docs`` are ignored.
@@ -201,6 +228,9 @@ def find_pii(
     tokens = stage(_occurrences_of_tokens(base), "pii-tokens")
     patterns = confident_patterns(tokens, min_confidence, min_seeds, rounds)
     new = tokens.where("kind IS NULL").drop("kind").join(patterns, "pattern").where(~_never(F.col("value"), F.col("kind")))
+    place = ["doc_id", "text_key", "s", "e"]
+    new = new.groupBy(*place).agg(F.max(F.struct("confidence", (-F.col("kind")).alias("k"))).alias("b"))
+    new = new.select(*place, (-F.col("b.k")).alias("kind")).unionByName(tokens.where(F.col("kind") == SECRET).select(*place, "kind"))
     new = new.select("doc_id", "text_key", F.struct("s", F.col("kind").alias("k"), "e").alias("span"))
     new = new.groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).agg(
         F.collect_set("span").alias("_added")
@@ -214,13 +244,13 @@ def find_pii(
 
 def spans_text(spans: Column) -> Column:
     """``kind:start:end``, comma-joined."""
-    names = F.array(*[F.lit(k) for k in KINDS])
+    names = F.array(*[F.lit(k) for k in ALL_KINDS])
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", F.get(names, x["k"]), x["s"], x["e"])), ",")
 
 
 def redacted(text: Column, spans: Column) -> Column:
     """The text with every span, spans that overlap taken together, as the name of its first kind: ``<EMAIL>``."""
-    names = F.array(*[F.lit(f"<{k.upper()}>") for k in KINDS])
+    names = F.array(*[F.lit(f"<{k.upper()}>") for k in ALL_KINDS])
 
     def step(state: Column, x: Column) -> Column:
         gap = F.substr(text, state["at"] + 1, F.greatest(x["s"] - state["at"], F.lit(0)))
@@ -234,12 +264,14 @@ def redacted(text: Column, spans: Column) -> Column:
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """``docs`` with every span replaced by its kind; ``n_chars``, if there, follows the text. Null texts stay."""
-    found = find_pii(docs).where(F.size("spans") > 0)
-    found = found.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("spans").alias("_spans"))
-    found = found.dropDuplicates(["_id", "_key"])
-    match = docs["doc_id"].eqNullSafe(found["_id"]) & (F.md5(docs["text"]) == found["_key"])
-    text = F.when(F.col("_spans").isNull(), docs["text"]).otherwise(redacted(docs["text"], F.col("_spans")))
-    joined = docs.join(found, match, "left").withColumn("_new", text)
-    new = {"text": F.col("_new"), "n_chars": F.char_length("_new").cast("long")}
-    return joined.select(*[new.get(c, docs[c]).alias(c) for c in docs.columns])
+    """``docs`` with every span replaced by its kind; ``n_chars``, if there, follows the text. Null texts stay, and so do
+    other columns, whatever their names."""
+    found = find_pii(docs).where(F.size("spans") > 0).select("doc_id", "text_key", "spans")
+    found = found.dropDuplicates(["doc_id", "text_key"]).alias("found")
+    rows = docs.select(F.struct("*").alias("doc")).alias("rows")
+    same = F.col("rows.doc.doc_id").eqNullSafe(F.col("found.doc_id")) & (F.md5("rows.doc.text") == F.col("found.text_key"))
+    text = F.col("rows.doc.text")
+    text = F.when(F.col("found.spans").isNull(), text).otherwise(redacted(text, F.col("found.spans")))
+    joined = rows.join(found, same, "left").select("rows.doc", text.alias("text"))
+    new = {"text": F.col("text"), "n_chars": F.char_length("text").cast("long")}
+    return joined.select(*[new.get(c, F.col("doc")[c]).alias(c) for c in docs.columns])

@@ -150,6 +150,29 @@ def test_pii_later_rounds(spark):
     assert once[100] == [(10, 3, 21)] and once[300] == []
 
 
+def test_pii_secrets_and_contexts(spark):
+    """Keys are seeds of a kind that contexts extend: one word before, two words before, or the word after."""
+    rng = random.Random(4)
+    key = lambda: "".join(rng.choice("0123456789abcdef") for _ in range(38)) + "a1"
+    rows = [(i, f'set token = "{key()}" w{i}') for i in range(12)]
+    rows += [(20, 'my token = "Zx81-qqTTrL09_ppQw" now'), (21, "the word Zx81-qqTTrL09_ppQw again"), (22, key())]
+    rows += [(300 + i, f"x{i} key of {key()} end{i}") for i in range(12)] + [(400 + i, f"y{i} path of dir{i}-1234567890-abcdef z{i}") for i in range(12)]
+    rows += [(60, "some key of AbCd1234efGh5678xy ok"), (70, "other of AbCd1234efGh5678xz ok")]
+    rows += [(800 + i, f"q{i} {key()} is-secret") for i in range(12)] + [(90, "zz abcdefgh-12345678-ij is-secret")]
+    docs = docs_of(spark, rows)
+    got = {r.doc_id: [tuple(x) for x in r.spans] for r in pii.find_pii(docs).collect()}
+    assert got[0] == [(13, 4, 53)] and got[22] == [(0, 4, 40)]
+    assert got[20] == [(12, 4, 30)] and got[21] == []
+    assert got[60] == [(12, 4, 30)] and got[70] == [] and got[90] == [(3, 4, 23)] and got[400] == []
+
+
+def test_redact_with_clashing_names(spark):
+    rows = [(1, "mail a@b.co now", 5, "s", "k", "n"), (None, None, 0, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, spans string, text_key string, _spans string")
+    got = sorted(map(tuple, pii.redact(docs).collect()), key=str)
+    assert got == [(1, "mail <EMAIL> now", 16, "s", "k", "n"), (None, None, None, None, None, None)]
+
+
 def test_pii_empty_table(spark):
     assert pii.find_pii(docs_of(spark, [])).count() == 0
 
