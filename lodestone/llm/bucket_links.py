@@ -1,9 +1,10 @@
 """Links between sets that share a bucket, by stars instead of pairs.
 
-Each bucket first sends a star: its hub, the member of the largest weight, with each other member. Pairs are confirmed on
-the full sets, and links join sets to components. A bucket whose members are all in one component is done. In others,
-those outside the bucket's largest component become hubs in turn, more of them each round, until every two members that
-aren't in one component have been compared: no link is lost, and near copies of one text never meet in pairs.
+Each bucket first names its member of the largest weight a hub. A hub is compared with the other members of all its
+buckets, on the full sets, and links join sets to components; after that it has met everyone and leaves the buckets. A
+bucket whose members are all in one component is done. In others, those outside the bucket's largest component become
+hubs in turn, more of them each round, until every two members that aren't in one component have been compared: no link
+is lost, no pair is compared twice, and near copies of one text never meet in pairs.
 """
 
 from __future__ import annotations
@@ -14,14 +15,17 @@ from pyspark.sql import functions as F
 from lodestone.llm.components import components
 from lodestone.session import stage
 
-#: New hubs of a bucket in the second round; each later round takes four times as many.
-HUBS = 2
+#: Each round takes so many times as many hubs of a bucket as the one before.
+GROWTH = 8
 
 
-def _pairs(hubs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of each hub (key, hub, hub_n, hub_label) and the members ``rows`` (key, set_no, n, label) of its bucket
-    that are in another component and whose sizes allow a link."""
-    met = rows.join(hubs, "key").where("label <> hub_label")
+def _stars(hubs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of each of ``hubs`` (set_no) and the other members ``rows`` (key, set_no, n, label) of its buckets that are
+    in another component and whose sizes allow a link."""
+    own = rows.join(hubs, "set_no", "left_semi").select(
+        "key", F.col("set_no").alias("hub"), F.col("n").alias("hub_n"), F.col("label").alias("hub_label")
+    )
+    met = rows.join(own, "key").where("label <> hub_label")
     met = met.where(100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n"))
     return met.select(F.least("hub", "set_no").alias("a"), F.greatest("hub", "set_no").alias("b")).distinct()
 
@@ -38,27 +42,21 @@ def bucket_links(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     """Links (a, b) that join the same components as all links between members of one bucket, of ``buckets`` (key,
     set_no, n: size of the set, weight) and ``sets`` (set_no, hashes), both written tables."""
     rows = buckets.withColumn("label", F.col("set_no"))
-    best = F.max(F.struct("weight", (-F.col("set_no")).alias("no"), "n")).alias("h")
-    hubs = rows.groupBy("key").agg(best).select("key", (-F.col("h.no")).alias("hub"), F.col("h.n").alias("hub_n"))
-    hubs = stage(hubs.withColumn("hub_label", F.col("hub")), "hubs")
-    compared = stage(_pairs(hubs, rows, percent), "pairs")
-    links = stage(_confirmed(compared, sets, percent), "links")
-    done, share = hubs.select("key", F.col("hub").alias("set_no")), HUBS
+    heaviest = rows.groupBy("key").agg(F.max(F.struct("weight", (-F.col("set_no")).alias("no"))).alias("h"))
+    hubs = stage(heaviest.select((-F.col("h.no")).alias("set_no")).distinct(), "hubs")
+    links, share = stage(_confirmed(_stars(hubs, rows, percent), sets, percent), "links"), GROWTH
     while True:
         labels = components(links).withColumnRenamed("node", "set_no")
-        rows = buckets.join(labels, "set_no", "left").withColumn("label", F.coalesce("label", "set_no"))
+        rows = rows.drop("label", "main").join(hubs, "set_no", "left_anti").join(labels, "set_no", "left")
+        rows = rows.withColumn("label", F.coalesce("label", "set_no"))
         groups = rows.groupBy("key", "label").agg(F.count("*").alias("members"))
         largest = groups.groupBy("key").agg(F.max(F.struct("members", "label")).alias("most"), F.count("*").alias("groups"))
-        open_ = largest.where("groups > 1").select("key", F.col("most.label").alias("main"))
-        rows = stage(rows.join(open_, "key"), "open-buckets")
-        left = rows.where("label <> main").join(done, ["key", "set_no"], "left_anti")
+        undecided = largest.where("groups > 1").select("key", F.col("most.label").alias("main"))
+        rows = stage(rows.join(undecided, "key"), "open-buckets")
         first = Window.partitionBy("key").orderBy(F.desc("weight"), "set_no")
-        hubs = left.withColumn("turn", F.row_number().over(first)).where(F.col("turn") <= share)
-        hubs = stage(hubs.select("key", F.col("set_no").alias("hub"), F.col("n").alias("hub_n"), F.col("label").alias("hub_label")), "hubs")
+        hubs = rows.where("label <> main").withColumn("turn", F.row_number().over(first)).where(F.col("turn") <= share)
+        hubs = stage(hubs.select("set_no").distinct(), "hubs")
         if hubs.isEmpty():
             return links
-        new = stage(_pairs(hubs, rows, percent).join(compared, ["a", "b"], "left_anti"), "pairs")
-        links = links.unionByName(stage(_confirmed(new, sets, percent), "links"))
-        compared = compared.unionByName(new)
-        done = done.unionByName(hubs.select("key", F.col("hub").alias("set_no")))
-        share *= 4
+        links = links.unionByName(stage(_confirmed(_stars(hubs, rows, percent), sets, percent), "links"))
+        share *= GROWTH
