@@ -178,6 +178,7 @@ part_rank AS (
 def patterns() -> str:
     """RE2 has no lookaround and an ASCII \\b, so word characters are spelled out where they matter."""
     word = r"[\p{L}\p{N}_]"
+    # One pattern per class.
     classes = {
         "website": rf"(?:www\.)?{word}+\.com\b",
         "slash_date": TOKEN_CLASSES["slash_date"],

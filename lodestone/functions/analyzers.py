@@ -11,7 +11,7 @@ from functools import partial
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.functions.patterns import RICH_TOKEN, SIMPLE_TOKEN, TOKEN_CLASSES, spark_pattern
+from lodestone.functions.patterns import RICH_TOKEN, RICH_TOKEN_WITHOUT_TAGS, SIMPLE_TOKEN, TOKEN_CLASSES, spark_pattern
 from lodestone.functions.stemmer import stem_tokens
 from lodestone.functions.words import STOPWORDS
 
@@ -31,10 +31,26 @@ def remove_stopwords(tokens: Column, stopwords: Iterable[str] = STOPWORDS) -> Co
     return F.filter(tokens, lambda t: ~t.isin(stopwords)) if stopwords else tokens
 
 
+def _matches(text: Column, pattern: str, any_case: bool = False) -> Column:
+    """All matches. Behind the last > no tag can end, so none is tried there: each < would have the rest of the text
+    scanned for one."""
+
+    def found(part: Column, pattern: str) -> Column:
+        return F.regexp_extract_all(part, F.lit(spark_pattern(pattern, any_case)), F.lit(0))
+
+    if pattern not in (RICH_TOKEN, TOKEN_CLASSES["html"]):
+        return found(text, pattern)
+    after = F.substring_index(text, ">", -1)
+    before = F.substr(text, F.lit(1), F.char_length(text) - F.char_length(after))
+    if pattern == RICH_TOKEN:
+        return F.concat(found(before, pattern), found(after, RICH_TOKEN_WITHOUT_TAGS))
+    return found(before, pattern)
+
+
 def _tokens(
     text: Column, *, pattern: str, stemmed: bool, stopwords: tuple[str, ...], any_case: bool, drop_html: bool
 ) -> Column:
-    tokens = F.regexp_extract_all(F.lower(text), F.lit(spark_pattern(pattern, any_case)), F.lit(0))
+    tokens = _matches(F.lower(text), pattern, any_case)
     tokens = remove_stopwords(tokens, stopwords)
     if drop_html:
         tokens = F.filter(tokens, lambda t: ~t.startswith("<"))
@@ -76,7 +92,7 @@ def extract_classes(df: DataFrame, text: str, classes: Iterable[str] = tuple(TOK
         *[
             F.struct(
                 F.lit(name).alias("token_class"),
-                F.regexp_extract_all(F.col(text), F.lit(spark_pattern(TOKEN_CLASSES[name])), F.lit(0)).alias("found"),
+                _matches(F.col(text), TOKEN_CLASSES[name]).alias("found"),
             )
             for name in classes
         ]

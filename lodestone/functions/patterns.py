@@ -61,6 +61,8 @@ TOKEN_CLASSES = {
 }
 
 RICH_TOKEN = "|".join(TOKEN_CLASSES.values())
+#: What is left of it where no tag can end.
+RICH_TOKEN_WITHOUT_TAGS = "|".join(pattern for name, pattern in TOKEN_CLASSES.items() if name != "html")
 
 
 def spark_pattern(pattern: str, any_case: bool = False) -> str:

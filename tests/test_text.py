@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -56,7 +57,22 @@ def test_very_long_texts_are_tokenized_whole(spark):
     assert rich[0] == [texts[0]] and rich[1] == ["b-" * 100_000]
 
 
-# The same classes spelled with plain backtracking.
+def test_many_open_tags(spark):
+    """Linear in the text, and the same tokens as without the cut at the last >."""
+    rng = random.Random(7)
+    texts = ["".join(rng.choice("<>ab '“”’-5%.,") for _ in range(rng.randint(0, 25))) for _ in range(3000)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(4)
+    got = df.select("text", analyzer("rich_stem", stopwords=[])(F.col("text")).alias("tokens"))
+    plain = F.regexp_extract_all(F.lower("text"), F.lit(spark_pattern(RICH_TOKEN)), F.lit(0))
+    assert got.where(F.col("tokens") != stem_tokens(plain)).count() == 0
+    start = time.time()
+    long = spark.createDataFrame([("a > " + "< " * 200_000 + "end",)], "text string")
+    assert long.select(analyzer("rich_stem", stopwords=[])(F.col("text")).alias("t")).first().t == ["a", "end"]
+    assert extract_classes(long, "text", ["html"]).count() == 0
+    assert time.time() - start < 60
+
+
+# The same classes spelled with plain backtracking.
 BACKTRACKING = {
     "word": r"(?<![\-\w])\w+(?:\w*\-?)*'?\w*(?!\w*%)",
     "number": r"(?<![\w+\-.,])[+-]?\d{1,3}(?:,\d{3})*(?:\.\d+)?(?!\d*%|\d*\.[a-zA-Z]+|\d*,\S|\d*\.\S|\d*[a-zA-Z]+|\d)",
