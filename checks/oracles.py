@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks import porter_sql
+from checks import porter_sql, rich_sql
 from checks.fixtures import LINK, MIN_DF_BODY, SAMPLE_TERMS, TITLE
 from lodestone.functions.patterns import SIMPLE_TOKEN, TOKEN_CLASSES, spark_pattern
 from lodestone.functions.words import STOPWORDS
@@ -48,9 +48,17 @@ def stems(*sources: tuple[str, str]) -> str:
     return porter_sql.stem_ctes(words)
 
 
-def index(p: str, source: str, min_df: int = 0, stemmed: bool = False) -> str:
-    """CTEs {p}_tf, {p}_len, {p}_terms, {p}_meta, {p}_norm."""
+def rich_words(name: str, source: str, key: str = "doc_id") -> str:
+    """CTE {name}: key, start, term of the rich tokenizer, without stop words."""
+    return f"""{rich_sql.matches(f"{name}_rich", source, key, list(rich_sql.CLASSES))},
+{name} AS MATERIALIZED (SELECT {key}, start, tok AS term FROM {name}_rich WHERE tok NOT IN ({STOP}))"""
+
+
+def index(p: str, source: str, min_df: int = 0, stemmed: bool = False, rich: str | None = None) -> str:
+    """CTEs {p}_tf, {p}_len, {p}_terms, {p}_meta, {p}_norm. ``rich`` is the CTE of the words if they are at hand."""
     words = f"SELECT doc_id, unnest(toks) AS term FROM ({tokens(source)})"
+    if rich:
+        words = f"SELECT doc_id, term FROM {rich}"
     if stemmed:
         words = f"SELECT doc_id, stem AS term FROM ({words}) JOIN stem_of USING (term)"
     return f"""
@@ -79,7 +87,7 @@ q AS (
   SELECT query_id, term, count(*) AS q_tf, any_value(q_len) AS q_len FROM ({words}) GROUP BY query_id, term)"""
 
 
-def bm25(p: str, lengths: str | None = None, doc_len: str = "l.doc_len") -> str:
+def bm25(p: str, lengths: str | None = None, doc_len: str = "l.doc_len", q: str = "q") -> str:
     """CTE {p}_bm25: query_id, doc_id, score, first_term."""
     lengths = lengths or f"{p}_len"
     return f"""
@@ -88,7 +96,7 @@ def bm25(p: str, lengths: str | None = None, doc_len: str = "l.doc_len") -> str:
   SELECT q.query_id, t.doc_id, min(term) AS first_term,
          sum(ln(1 + (m.n_docs - w.df + 0.5) / (w.df + 0.5)) * t.tf * 2.5
              / (t.tf + 1.5 * (1 - 0.75 + 0.75 * {doc_len} / m.avg_len))) AS score
-  FROM q JOIN {p}_terms w USING (term) JOIN {p}_tf t USING (term) JOIN {lengths} l USING (doc_id), {p}_avg m
+  FROM {q} q JOIN {p}_terms w USING (term) JOIN {p}_tf t USING (term) JOIN {lengths} l USING (doc_id), {p}_avg m
   GROUP BY q.query_id, t.doc_id)"""
 
 
@@ -237,6 +245,21 @@ FROM ({ranked("m_count", "score DESC, first_term, doc_id")}) r LEFT JOIN ({title
     search_body = f"""WITH {body}, {q}, {cosine("body")}, {best("b", "body_cos", 40)}
 SELECT b.query_id, b.rank, b.doc_id, b.score, t.text AS title
 FROM b LEFT JOIN ({FIRST_LINES}) t USING (doc_id)"""
+    hard = ["number", "percent", "abbreviation", "word"]
+    every_class = ", ".join(
+        rich_sql.matches(f"c_{c}", "SELECT kind, id, text FROM texts", "kind, id", [c], lower=False) for c in hard
+    )
+    every_row = " ".join(f"UNION ALL SELECT kind, id, {text(c)}, tok FROM c_{c}" for c in hard)
+    simple_words = " UNION ".join(
+        f"SELECT DISTINCT unnest(toks) AS term FROM ({tokens(s, key)})"
+        for s, key in ((BODIES, "doc_id"), (QUERIES, "query_id"))
+    )
+    rich_titles = f"""RECURSIVE {rich_words("tw", FIRST_LINES)}, {rich_words("qw", QUERIES, "query_id")},
+{porter_sql.stem_ctes(f"{simple_words} UNION SELECT DISTINCT term FROM tw UNION SELECT DISTINCT term FROM qw")},
+{index("title", FIRST_LINES, stemmed=True, rich="tw")}, {index("body", BODIES, MIN_DF_BODY, stemmed=True)},
+{asked(stemmed=True)}, qr AS (SELECT DISTINCT query_id, stem AS term FROM qw JOIN stem_of USING (term)),
+{bm25("title", q="qr")}, {bm25("body")},
+{best("title_best", "title_bm25", 10)}, {best("body_best", "body_bm25", 10)}"""
     half = "SELECT query_id, CASE WHEN query_id % 2 = 0 THEN text END AS text"
     return {
         "tokenize_simple": f"""
@@ -248,6 +271,13 @@ JOIN stem_of USING (term)""",
         "stem_terms": f"WITH {stems((BODIES, 'doc_id'))} SELECT term, stem FROM stem_of",
         "pattern_classes": f"""WITH texts AS ({PATTERN_TEXTS})
 SELECT kind, id, token_class, value, count(*) AS n FROM ({patterns()}) GROUP BY ALL""",
+        "tokenize_rich_stem": f"""WITH RECURSIVE {rich_words("rw", BODIES)},
+{porter_sql.stem_ctes("SELECT DISTINCT term FROM rw")}
+SELECT doc_id, stem AS term, row_number() OVER (PARTITION BY doc_id ORDER BY start) - 1 AS pos
+FROM rw JOIN stem_of USING (term)""",
+        "pattern_classes_all": f"""WITH RECURSIVE texts AS ({PATTERN_TEXTS}), {every_class}
+SELECT kind, id, token_class, value, count(*) AS n FROM ({patterns()} {every_row}) GROUP BY ALL""",
+        "search_rich_titles": search(rich_titles),
         "term_freq": f"WITH {body_all} SELECT doc_id, term, tf FROM body_tf",
         "doc_freq": f"WITH {body_all} SELECT term, df FROM body_terms",
         "term_total": f"WITH {body_all} SELECT term, term_total FROM body_terms",
