@@ -31,6 +31,8 @@ PATTERN = public_tokenizers.PATTERN
 STEP_CHARS = 2_000_000
 #: Positions of the segment trees that are merged at a time.
 STEP_NODES = 1 << 20
+#: Pieces of so many bytes have a tree of their own, in which equal pairs are merged together.
+LONG = 1 << 11
 
 _NONE = np.int32(2**31 - 1)
 
@@ -89,6 +91,13 @@ class Bpe:
         widths = np.where(whole >= 0, 0, 1 << np.ceil(np.log2(np.maximum(sizes, 2))).astype(np.int64))
         for width in np.unique(widths[widths > 0]).tolist():
             rows = np.flatnonzero(widths == width)
+            if width >= LONG:
+                for i in rows.tolist():
+                    ids = self._merge_long(pieces[i], width)
+                    begin[i], length[i] = done, len(ids)
+                    out.append(ids)
+                    done += len(ids)
+                continue
             step = max(1, STEP_NODES // width)
             for first in range(0, len(rows), step):
                 some = rows[first : first + step]
@@ -98,7 +107,47 @@ class Bpe:
                 done += len(ids)
         return np.concatenate(out), begin, length
 
-    def _merge_rows(self, pieces: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
+    def _merge_long(self, piece: bytes, width: int) -> np.ndarray:
+        """The ids of a long piece. Each step merges all pairs of the least rank, which are found from the root down, as
+        one after the other from the left would; where a merge makes a pair of a lower rank, only the first is done."""
+        ids, after, before, tree = (x.reshape(-1) for x in self._trees([piece], width))
+        while tree[1] >> 32 != _NONE:
+            least = int(tree[1] >> 32)
+            at = np.array([1])
+            while at[0] < width:
+                at = np.stack([2 * at, 2 * at + 1], axis=1).reshape(-1)
+                at = at[tree[at] >> 32 == least]
+            at -= width
+            # of pairs that overlap in a row, every other one counts
+            starts = np.ones(len(at), bool)
+            starts[1:] = after[at[:-1]] != at[1:]
+            run = np.maximum.accumulate(np.where(starts, np.arange(len(at)), 0))
+            at = at[(np.arange(len(at)) - run) % 2 == 0]
+            while True:
+                gone = after[at]
+                right, left = after[gone], before[at]
+                joined = np.zeros(len(at), bool)  # follows the merge before it without a token between
+                joined[1:] = right[:-1] == at[1:]
+                new = np.full(len(at), least, np.int32)
+                there, has_left = right < width, left >= 0
+                to_right = np.full(len(at), _NONE, np.int64)
+                to_right[there] = self._rank(new[there], ids[right[there]])
+                to_left = np.full(len(at), _NONE, np.int64)
+                to_left[has_left] = self._rank(np.where(joined, least, ids[left])[has_left], new[has_left])
+                if len(at) == 1 or min(to_right.min(), to_left.min()) > least:
+                    break
+                at = at[:1]
+            to_right[:-1] = np.where(joined[1:], to_left[1:], to_right[:-1])
+            ids[at], ids[gone], after[at] = least, -1, right
+            before[right[there]] = at[there]
+            own = has_left & ~joined
+            places = np.concatenate([gone, at, left[own]])
+            ranks = np.concatenate([np.full(len(gone), _NONE, np.int64), to_right, to_left[own]])
+            self._point(tree, np.zeros(len(places), np.int64), width, places, ranks)
+        return ids[ids >= 0]
+
+    def _trees(self, pieces: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """For each piece the ids of its bytes, the places after and before each, and the tree of pair ranks."""
         n = len(pieces)
         lengths = np.fromiter(map(len, pieces), np.int64, n)
         text = np.frombuffer(b"".join(pieces), np.uint8)
@@ -117,6 +166,10 @@ class Bpe:
         while level > 1:
             tree[:, level // 2 : level] = np.minimum(tree[:, level : 2 * level : 2], tree[:, level + 1 : 2 * level : 2])
             level //= 2
+        return ids, after, before, tree
+
+    def _merge_rows(self, pieces: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
+        ids, after, before, tree = self._trees(pieces, width)
         flat_ids, flat_after, flat_before, flat_tree = (x.reshape(-1) for x in (ids, after, before, tree))
         live = np.flatnonzero(tree[:, 1] >> 32 != _NONE)
         while len(live):
