@@ -80,13 +80,15 @@ def assign_shards(docs: DataFrame, limit: int = LIMIT, row_no: str | None = None
     return reduce(DataFrame.unionByName, done) if done else empty
 
 
-def write_shards(docs: DataFrame, path: str, limit: int = LIMIT) -> None:
-    """Writes all columns of ``docs`` in folders ``shard=b<bits>``, each by one task, which holds a shard's rows.
-    A column of ``docs`` called shard would clash and is an error."""
-    if "shard" in (c.lower() for c in docs.columns):
-        raise ValueError("the documents have a column called shard")
-    rows = stage(docs.withColumn("_row_no", F.monotonically_increasing_id()), "shard-docs")
+def write_shards(docs: DataFrame, path: str, limit: int = LIMIT) -> str:
+    """Writes all columns of ``docs`` in folders ``shard=b<bits>``, each by one task, which holds a shard's rows. If
+    ``docs`` has a column shard, whatever its case, the folders are called shard_1, and so on; returns the name."""
+    taken = {c.lower() for c in docs.columns}
+    name = next(x for x in ("shard", *(f"shard_{i}" for i in range(1, len(taken) + 2))) if x not in taken)
     # the numbers are written: numbers given in two readings differ if the files are split otherwise
-    shards = assign_shards(rows, limit, "_row_no").select("row_no", F.concat(F.lit("b"), "shard").alias("shard"))
-    joined = rows.join(shards, rows["_row_no"] == shards["row_no"]).drop(shards["row_no"]).drop("_row_no")
-    joined.repartition("shard").write.partitionBy("shard").parquet(path)
+    rows = stage(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("no")), "shard-docs")
+    shards = assign_shards(rows.select("doc.doc_id", "doc.text", "no"), limit, "no")
+    shards = shards.select(F.col("row_no").alias("no"), F.concat(F.lit("b"), "shard").alias("in"))
+    joined = rows.join(shards, "no").select("doc.*", F.col("in").alias(name))
+    joined.repartition(name).write.partitionBy(name).parquet(path)
+    return name
