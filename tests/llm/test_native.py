@@ -328,6 +328,47 @@ def test_url_rules_and_links(spark):
     assert by[7].host == by[8].path == "" and by[3].trust > by[4].trust > 0 and by[5].distrust > 0
 
 
+def test_url_verdicts_by_brute_force(spark):
+    rng = random.Random(21)
+    hosts = [f"{a}{b}" for a in ("", "www.", "x.") for b in ("one.org", "two.org", "three.net", "four.com", "five.com")]
+    rules = [("one.org", "/", "allow"), ("www.one.org", "/p", "block"), ("two.org", "/a", "block"), ("com", "/b", "block"), ("four.com", "/b", "allow")]
+    pages = []
+    for i in range(60):
+        url = f"http://{rng.choice(hosts)}{rng.choice(['', '/', '/a', '/b', '/p/q', '/c'])}"
+        pages.append((i, url, [rng.choice(hosts) for _ in range(rng.choice([0, 1, 3]))]))
+    html = lambda to: " ".join(f"<a href='http://{h}/'>x</a>" for h in to)
+    table = spark.createDataFrame([(i, u, html(to)) for i, u, to in pages], "page_id long, url string, html string")
+    got = {r.page_id: r for r in url_graph.filter_urls(table, spark.createDataFrame(rules, "host string, path string, verdict string")).collect()}
+
+    def fit(url):
+        host, _, path = url.removeprefix("http://").partition("/")
+        path = "/" + path if "/" in url.removeprefix("http://") else ""
+        fits = [(len(h + p), v == "block", h + p, v) for h, p, v in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        return host, max(fits, default=None)
+
+    judged = {i: fit(u) for i, u, _ in pages}
+    names = sorted({h for h, _ in judged.values()} | {h for _, _, to in pages for h in to})
+    edges = {(judged[i][0], h) for i, _, to in pages for h in to if h != judged[i][0]}
+
+    def scores(links, verdict):
+        seeds = {n: sum(h == n and best is not None and best[3] == verdict for h, best in judged.values()) for n in names}
+        total = sum(seeds.values())
+        seeds = {n: v / total for n, v in seeds.items()}
+        rank = dict(seeds)
+        for _ in range(url_graph.STEPS):
+            moved = {n: 0.85 * sum(rank[a] / sum(x == a for x, _ in links) for a, b in links if b == n) for n in names}
+            rest = 1 - sum(moved.values())
+            rank = {n: moved[n] + rest * seeds[n] for n in names}
+        return {n: len(names) * v for n, v in rank.items()}
+
+    trust, distrust = scores(edges, "allow"), scores({(b, a) for a, b in edges}, "block")
+    for i, (host, best) in judged.items():
+        bad = distrust[host] >= url_graph.THRESHOLD and distrust[host] > trust[host]
+        want = best[3] if best else "block" if bad else "allow"
+        assert (got[i].host, got[i].rule, got[i].verdict) == (host, best and best[2], want)
+    assert {got[i].verdict for i, (_, best) in judged.items() if best is None} == {"allow", "block"}
+
+
 def test_url_scores_by_hand(spark):
     """Against the plain iteration in Python."""
     rng = random.Random(4)

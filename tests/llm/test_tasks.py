@@ -1,6 +1,7 @@
 """N-gram join, shared passages, tokenizers, sharding and the pipeline, against plain Python."""
 
 import base64
+import hashlib
 import random
 import zlib
 
@@ -139,6 +140,27 @@ def test_shared_passages(spark):
     assert substring_dedup.shared_passages(docs_of(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize(("similarity", "n", "least"), [(1.0, 50, 1.0), (0.95, 50, 0.95), (0.9, 50, 0.9), (0.9, 100, 0.95), (0.85, 100, 0.9)])
+def test_recall_of_edited_passages(spark, similarity, n, least):
+    """Pairs of documents with a passage whose words are replaced at random places: found if 80 % of it is covered."""
+    rng = random.Random(int(100 * similarity) + n)
+    rows = []
+    for x in range(40):
+        words = sentence(rng, n).split(" ")
+        other = list(words)
+        for at in rng.sample(range(1, n - 1), round((1 - similarity) * n)):
+            other[at] = f"zz{rng.randrange(10**6)}"
+        rows.append((2 * x, f"{sentence(rng, 70)} {' '.join(words)} {sentence(rng, 30)}"))
+        rows.append((2 * x + 1, f"{sentence(rng, 20)} {' '.join(other)} {sentence(rng, 60)}"))
+    got = substring_dedup.shared_passages(docs_of(spark, rows)).collect()
+    covered = {}
+    for r in got:
+        assert r.similarity >= 0.8 and r.doc_id // 2 == r.other_id // 2
+        covered.setdefault(r.doc_id, set()).update(range(r.start, r.end))
+    found = sum(len(covered.get(2 * x, set()) & set(range(70, 70 + n))) >= 0.8 * n for x in range(40))
+    assert found >= least * 40
+
+
 def test_two_passages_of_a_pair(spark):
     """Two shared passages, close enough to be one chain that as a whole is too little alike."""
     rng = random.Random(7)
@@ -164,14 +186,14 @@ def test_parts_of_a_chain():
     b[166:400:3] += 5000
     b[420:430] += 5000
     places = np.array([100, 110, 118, 138, 150, 156, 400, 410, 430, 440, 450, 460, 470])
-    parts = substring_dedup._parts(a, b, places, places, 50, 0.8)
+    parts = substring_dedup._parts(a, b, places, places, 50, 0.8, 10)
     assert parts == [(0, 5), (6, 12)]
 
 
 def test_chains_after_a_long_passage(spark):
     """The end of a long shared section is too far away for a later passage, but doesn't part its matches."""
     far = [*range(0, 500, 8)]
-    chains = substring_dedup.chain([*far, 700, 718, 734], [*far, 640, 658, 674])
+    chains = substring_dedup.chain([*far, 700, 718, 734], [*far, 640, 658, 674], 10)
     assert sorted(chains) == [(0, 506, 0, 506, 63), (700, 744, 640, 684, 3)]
     rng = random.Random(12)
     own = lambda n: sentence(rng, n)
@@ -215,7 +237,7 @@ def test_edits_and_chains():
         a = [rng.randrange(3) for _ in range(rng.randrange(30))]
         b = [x if rng.random() < 0.8 else 9 for x in a][: rng.randrange(20, 40)] + [1] * rng.randrange(3)
         assert substring_dedup.edits(np.array(a, int), np.array(b, int), 40) == plain(a, b)
-    assert substring_dedup.chain([0, 12, 24, 500], [100, 112, 125, 3]) == [(0, 34, 100, 135, 3), (500, 510, 3, 13, 1)]
+    assert substring_dedup.chain([0, 12, 24, 500], [100, 112, 125, 3], 10) == [(0, 34, 100, 135, 3), (500, 510, 3, 13, 1)]
 
 
 # --- tokenizers ------------------------------------------------------------------------------------
@@ -245,20 +267,33 @@ def test_bpe(spark):
     assert bpe.encode(docs_of(spark, [])).count() == 0
 
 
+def test_long_pieces():
+    """Runs without spaces, of thousands of letters, as the library encodes them."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    own = bpe.Bpe(path)
+    rng = random.Random(2)
+    texts = ["".join(rng.choice(letters) for _ in range(n)) for letters in ("abcdefghij", "etaoinshrdlu", "ab", "aé漢") for n in (2050, 9000)]
+    texts += ["a" * 5000, "ab" * 4000, "aab" * 2000, "thethe" * 1500, "=" * 3333]
+    for text in texts:
+        assert own.encode([text])[0].tolist() == library.encode_ordinary(text)
+
+
 def test_chunks_join_to_the_text():
     assert all("".join(chunks(t)) == t for t in TEXTS if t)
 
 
 def test_token_files(spark, tmp_path):
-    texts = some_texts(spark)
+    texts = [*some_texts(spark), "end <|endoftext|> of", "<|endoftext|>", "a<|endoftext|>\n<|endoftext|> b"]
     rows = list(enumerate(texts))
     random.Random(0).shuffle(rows)
     token_files.write_token_files(docs_of(spark, [*rows, (None, "no id"), (3, "again")]), f"{tmp_path}/f", shard_ids=20_000)
     got = token_files.read_token_files(spark, f"{tmp_path}/f").orderBy("start").collect()
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
+    tie = {t: spark.range(1).select(F.xxhash64(F.lit(t))).first()[0] for t in ("again", dict(rows)[3])}
     start, want = 0, []
-    for i, text in sorted([*rows, (-1, "no id"), (3, "again")], key=lambda x: (x[0], x[1] or "")):
+    for i, text in sorted([*rows, (-1, "no id"), (3, "again")], key=lambda x: (x[0], tie.get(x[1], 0))):
         ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [0]
         want.append((None if i < 0 else i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)
@@ -269,7 +304,7 @@ def test_re_pair():
     rng = np.random.default_rng(0)
     for ids in [[], [5], [1, 1, 1, 1, 1], rng.integers(0, 4, 5000), np.tile(rng.integers(0, 70_000, 40), 200)]:
         ids = np.array(ids, np.uint32)
-        payload = token_files.compress(ids, rounds=6, per_round=50, min_count=2)
+        payload = token_files.compress(ids, min_count=2)
         assert (token_files.decompress(payload) == ids).all()
         for _ in range(30 if len(ids) else 0):
             a, b = sorted(rng.integers(0, len(ids) + 2, 2).tolist())
@@ -297,6 +332,46 @@ def test_sharding(spark):
     assert sharding.assign_shards(docs_of(spark, [])).count() == 0
 
 
+def brute_shards(rows, limit):
+    """Splits buckets bit by bit; the row's own number is the last part of the hash."""
+
+    def bits(text):
+        return f"{int(hashlib.md5(text.encode()).hexdigest()[:15], 16):060b}"
+
+    hashed = [(bits("" if i is None else str(i)) + bits(t or ""), len((t or "").encode())) for i, t in rows]
+    out = {}
+
+    def split(prefix, members):
+        if sum(hashed[m][1] for m in members) <= limit or len(members) == 1:
+            for m in members:
+                out[m] = prefix
+            return
+        for bit in "01":
+            part = [m for m in members if hashed[m][0][len(prefix)] == bit]
+            if part:
+                split(prefix + bit, part)
+
+    split("", range(len(rows)))
+    return sorted((rows[m][0], hashed[m][1], prefix) for m, prefix in out.items())
+
+
+def test_shards_by_brute_force(spark):
+    rng = random.Random(6)
+    rows = [(i, "é" * rng.choice([0, 1, 5, 40, 300])) for i in range(500)] + [(9, f"text {i}") for i in range(80)]
+    for limit in (100, 2000, 10**6):
+        got = sharding.assign_shards(docs_of(spark, rows), limit).collect()
+        assert sorted((r.doc_id, r.bytes, r.shard) for r in got) == brute_shards(rows, limit)
+
+
+def test_written_shards_with_clashing_names(spark, tmp_path):
+    rows = [(1, "a", "s", 5, 7, "z"), (2, None, None, None, None, None), (None, "b" * 50, "s", 1, 1, "d")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, Shard string, _row_no int, no int, doc string")
+    assert sharding.write_shards(docs, f"{tmp_path}/s", 20) == "shard_1"
+    back = spark.read.parquet(f"{tmp_path}/s")
+    assert back.columns == [*docs.columns, "shard_1"]
+    assert sorted(map(tuple, back.drop("shard_1").collect()), key=str) == sorted(rows, key=str)
+
+
 def test_written_shards(spark, tmp_path):
     docs = table(spark, SF, "documents")
     sharding.write_shards(docs, f"{tmp_path}/s", 100_000)
@@ -331,6 +406,27 @@ def test_written_shards_of_split_files(spark, tmp_path, monkeypatch):
 # --- pipeline --------------------------------------------------------------------------------------
 
 
+def test_stages_of_odd_rows(spark):
+    """Null and empty texts, rows without an id, repeated rows and ids, and an empty table."""
+    rng = random.Random(31)
+    prose = [". ".join(sentence(rng, 12) for _ in range(12)) + "." for _ in range(4)]
+    rows = [(1, prose[0]), (1, prose[0]), (2, prose[0] + " more"), (3, prose[1]), (None, prose[2]), (None, prose[2]), (4, None), (5, ""), (3, prose[3])]
+    rows = [(i, t, "en", "s", len(t or "")) for i, t in rows]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame(rows, schema)
+    stages = dict(corpus_pipeline.STAGES)
+    one = stages["near_duplicates"](spark, docs, SF)
+    kept = sorted(((r.doc_id, r.text) for r in one.collect()), key=str)
+    assert kept == sorted([(1, prose[0]), (1, prose[0]), (3, prose[1]), (None, prose[2]), (None, prose[2]), (4, None), (5, ""), (3, prose[3])], key=str)
+    assert one.columns == docs.columns
+    tokens = stages["tokenize"](spark, docs, SF).collect()
+    assert len(tokens) == len(rows) and {r.n_tokens for r in tokens if r.doc_id in (4, 5)} == {0}
+    for name, f in corpus_pipeline.STAGES[:-1]:
+        assert f(spark, docs, SF).columns == docs.columns, name
+        assert f(spark, docs.limit(0), SF).count() == 0, name
+    assert stages["tokenize"](spark, docs.limit(0), SF).count() == 0
+
+
 def test_pipeline(spark):
     docs = table(spark, SF, "documents")
     got = {r.doc_id: r for r in corpus_pipeline.run(spark, SF).collect()}
