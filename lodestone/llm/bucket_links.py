@@ -13,12 +13,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestone.llm.components import components
-from lodestone.session import stage
+from lodestone.session import stage, stage_bucketed
 
 #: Each round takes so many times as many hubs of a bucket as the one before.
 GROWTH = 8
 
 
+def once(sets: DataFrame) -> DataFrame:
+    """``sets`` (set_no, hashes), a table in buckets by set_no, with one row of each set; rows are repeated only where
+    documents are. Without repetitions nothing is written again."""
+    numbers = sets.groupBy("set_no").agg(F.count("*").alias("n"))
+    return sets if numbers.where("n > 1").isEmpty() else stage_bucketed(sets.dropDuplicates(["set_no"]), "set_no")
+
+
 def _stars(hubs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
     """(a, b) of each of ``hubs`` (set_no) and the other members ``rows`` (key, set_no, n, label) of its buckets that are
     in another component and whose sizes allow a link."""
@@ -40,7 +47,8 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def bucket_links(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) that join the same components as all links between members of one bucket, of ``buckets`` (key,
-    set_no, n: size of the set, weight) and ``sets`` (set_no, hashes), both written tables."""
+    set_no, n: size of the set, weight) and ``sets`` (set_no, hashes), both written tables, the latter in buckets by
+    set_no, so that pairs are shuffled to the sets and not the sets to the pairs."""
     rows = buckets.withColumn("label", F.col("set_no"))
     heaviest = rows.groupBy("key").agg(F.max(F.struct("weight", (-F.col("set_no")).alias("no"))).alias("h"))
     hubs = stage(heaviest.select((-F.col("h.no")).alias("set_no")).distinct(), "hubs")

@@ -22,11 +22,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.bucket_links import bucket_links
+from lodestone.llm.bucket_links import bucket_links, once
 from lodestone.llm.components import components
 from lodestone.llm.ngram_join import _as_lists, _sets, _signed, _steps
 from lodestone.llm.shingles import mix, shingle_sets
-from lodestone.session import stage
+from lodestone.session import stage, stage_bucketed
 
 WORDS = 5
 PERCENT = 80
@@ -121,7 +121,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     plain = classes.drop("bands")
     wanted = plain.join(buckets.select("set_no").distinct(), "set_no", "left_semi")
     wanted = stage(wanted.select("set_no", "rep", "s1", "s2"), "wanted")
-    sets = stage(_sets(docs, wanted, words).dropDuplicates(["set_no"]), "sets")
+    sets = once(stage_bucketed(_sets(docs, wanted, words), "set_no"))
     labels = components(bucket_links(buckets, sets, percent)).withColumnRenamed("node", "set_no")
     labelled = plain.join(labels, "set_no", "left").withColumn("label", F.coalesce("label", "set_no"))
     smallest = labelled.groupBy("label").agg(F.min("rep").alias("component_id"))

@@ -25,11 +25,12 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.bucket_links import bucket_links
+from lodestone.llm.bucket_links import bucket_links, once
 from lodestone.llm.chunks import slices
+from lodestone.llm.common import small
 from lodestone.llm.components import components
 from lodestone.llm.shingles import mix, shingle_sets
-from lodestone.session import stage
+from lodestone.session import stage, stage_bucketed
 
 WORDS = 5
 PERCENT = 80
@@ -186,7 +187,8 @@ def _might_be(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(set_no, hashes) of the classes ``wanted`` (set_no, rep, s1, s2), from the texts of their documents ``rep``."""
+    """(set_no, hashes) of the classes ``wanted`` (set_no, rep, s1, s2; a written table), from the texts of their
+    documents ``rep``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -198,6 +200,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
                 yield out.filter(own)
 
     texts = _might_be(docs.select("doc_id", F.col("text").cast("string").alias("text")), wanted)
+    wanted = small(wanted)
     joined = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["rep"])).select("set_no", "s1", "s2", "text")
     return joined.mapInArrow(run, "set_no long, hashes array<long>")
 
@@ -261,7 +264,7 @@ def ngram_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT
     lists = _different_lists(stage(_shared_lists(classes), "shared-lists"))
     plain = classes.drop("keys")
     wanted = plain.join(lists.select("set_no").distinct(), "set_no", "left_semi").select("set_no", "rep", "s1", "s2")
-    sets = stage(_sets(docs, stage(wanted, "wanted"), words).dropDuplicates(["set_no"]), "sets")
+    sets = once(stage_bucketed(_sets(docs, stage(wanted, "wanted"), words), "set_no"))
     labels = components(bucket_links(lists, sets, percent)).withColumnRenamed("node", "set_no")
     labelled = plain.join(labels, "set_no", "left").withColumn("label", F.coalesce("label", "set_no"))
     smallest = labelled.groupBy("label").agg(F.min("rep").alias("component_id"))

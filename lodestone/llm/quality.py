@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.llm.common import tail, words
-from lodestone.session import stage
 
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
@@ -127,10 +126,10 @@ def quality_rules(docs: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame) -> DataFrame:
     """The kept documents with their cleaned texts, in the columns of ``docs``. ``n_chars`` follows the text.
 
-    The judged rows are written before they are filtered: a filter on computed columns is pushed below them with all
-    their rules spelled out in it, again for each use.
+    A filter on computed columns is pushed below them with all their rules spelled out in it, again for each use. What
+    a generator makes isn't: the judged rows pass through one, an array of one row each.
     """
-    judged = quality_rules(docs)
     new = {"text": F.col("cleaned"), "n_chars": F.char_length("cleaned").cast("long")}
     doc = F.struct(*[new.get(c, F.col("doc")[c]).alias(c) for c in docs.columns])
-    return stage(judged.select(doc.alias("doc"), "kept"), "judged").where("kept").select("doc.*")
+    judged = quality_rules(docs).select(F.inline(F.array(F.struct(doc.alias("doc"), F.col("kept").alias("kept")))))
+    return judged.where("kept").select("doc.*")

@@ -72,7 +72,8 @@ def test_keep_good_of_repeated_text(spark):
     docs = docs_of(spark, [(1, "one two three four five six seven eight, nine ten. " * 500), (2, prose), (3, None), (2, prose)])
     kept = quality.keep_good(docs)
     assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(2, prose), (2, prose)]
-    assert "hash" not in kept._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in kept._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Filter" in line]
+    assert len(filters) == 1 and "hash" not in filters[0]
 
 
 def test_quality_empty_table(spark):
