@@ -1,22 +1,30 @@
-"""Links between sets that share a bucket, by stars instead of pairs.
+"""Links between sets that share a bucket, by stars and then, where those leave more than one component, by scanning.
 
-Each bucket first names its member of the largest weight a hub. A hub is compared with the other members of all its
-buckets, on the full sets, and links join sets to components; after that it has met everyone and leaves the buckets. A
-bucket whose members are all in one component is done. In others, those outside the bucket's largest component become
-hubs in turn, more of them each round, until every two members that aren't in one component have been compared: no link
-is lost, no pair is compared twice, and near copies of one text never meet in pairs.
+Each bucket first has its member of the largest weight as hub, which is compared with the other members on the full sets;
+links join sets to components. Copies and near copies of a text are joined by that, and never meet in pairs. A bucket
+whose members are all in one component is done.
+
+The sets of the others, in groups that share buckets, are scanned: a task indexes the shingles of a block of a group, and
+the inverted lists of one set at a time give its overlap with all others there. Only sets outside the group's largest
+component are scanned, against all of it, and only links of a spanning forest leave a task. A group of more than a block
+is dealt over tasks, shares of the scanned sets with each block. So no link is lost.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestone.llm.chunks import gather
 from lodestone.llm.components import components
 from lodestone.session import stage, stage_bucketed
 
-#: Each round takes so many times as many hubs of a bucket as the one before.
-GROWTH = 8
+#: Shingles in a block of a group's sets.
+BLOCK_ELEMENTS = 1_000_000
+
+_U = np.uint64
 
 
 def once(sets: DataFrame) -> DataFrame:
@@ -26,13 +34,11 @@ def once(sets: DataFrame) -> DataFrame:
     return sets if numbers.where("n > 1").isEmpty() else stage_bucketed(sets.dropDuplicates(["set_no"]), "set_no")
 
 
-def _stars(hubs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of each of ``hubs`` (set_no) and the other members ``rows`` (key, set_no, n, label) of its buckets that are
-    in another component and whose sizes allow a link."""
-    own = rows.join(hubs, "set_no", "left_semi").select(
-        "key", F.col("set_no").alias("hub"), F.col("n").alias("hub_n"), F.col("label").alias("hub_label")
-    )
-    met = rows.join(own, "key").where("label <> hub_label")
+def _stars(rows: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of the hub of each bucket and its other members, of ``rows`` (key, set_no, n, weight), whose sizes allow a
+    link."""
+    heaviest = F.max_by(F.struct(F.col("set_no").alias("hub"), F.col("n").alias("hub_n")), F.struct("weight", -F.col("set_no")))
+    met = rows.join(rows.groupBy("key").agg(heaviest.alias("h")).select("key", "h.*"), "key").where("hub <> set_no")
     met = met.where(100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n"))
     return met.select(F.least("hub", "set_no").alias("a"), F.greatest("hub", "set_no").alias("b")).distinct()
 
@@ -45,26 +51,70 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * F.col("common") >= percent * (F.size("x") + F.size("y") - F.col("common"))).select("a", "b")
 
 
-def bucket_links(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _forest(table: pa.Table, percent: int) -> pa.Table:
+    """Links that join the components ``label`` of the sets in ``table`` (set_no, hashes, label, scan) as all links of
+    those to scan do."""
+    numbers, at = np.unique(table.column("set_no").to_numpy(), return_index=True)
+    table = table.take(pa.array(at))
+    lists = table.column("hashes").combine_chunks()
+    flat = lists.flatten().to_numpy().view(_U)
+    n = np.asarray(lists.value_lengths()).astype(np.int64)
+    group = np.unique(table.column("label").to_numpy(), return_inverse=True)[1]
+    ends = np.cumsum(n)
+    order = np.argsort(flat, kind="stable")
+    keys, owner = flat[order], np.repeat(np.arange(len(n)), n)[order]
+    links: list[tuple[int, int]] = []
+    for i in np.flatnonzero(table.column("scan").to_numpy(zero_copy_only=False)).tolist():
+        own = flat[ends[i] - n[i] : ends[i]]
+        low, high = np.searchsorted(keys, own, "left"), np.searchsorted(keys, own, "right")
+        both = np.bincount(owner[gather(np.arange(len(keys)), low, high - low)], minlength=len(n))
+        near = np.flatnonzero((100 * both >= percent * (n[i] + n - both)) & (group != group[i]))
+        for j in near.tolist():
+            if group[j] != group[i]:
+                group[group == group[j]] = group[i]
+                links.append((int(numbers[i]), int(numbers[j])))
+    a, b = ([x[k] for x in links] for k in (0, 1))
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def _scanned(rows: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
+    """Links within the groups of sets that share buckets, of the members ``rows`` (key, set_no, n, label)."""
+    first = rows.groupBy("key").agg(F.min("set_no").alias("b"))
+    groups = components(rows.join(first, "key").select(F.col("set_no").alias("a"), "b"))
+    members = rows.select("set_no", "n", "label").distinct().join(groups.selectExpr("node AS set_no", "label AS w"), "set_no")
+    members = stage(members, "group-members")
+    counts = members.groupBy("w", "label").agg(F.count("*").alias("sets"), F.sum("n").alias("elements"))
+    sizes = counts.groupBy("w").agg(
+        F.max(F.struct("sets", "label", "elements")).alias("main"), F.sum("elements").alias("elements")
+    )
+    tasks = lambda elements: F.greatest(F.ceil(elements / block), F.lit(1)).cast("int")
+    sizes = sizes.select(
+        "w", F.col("main.label").alias("main"), tasks(F.col("elements")).alias("blocks"),
+        tasks(F.col("elements") - F.col("main.elements")).alias("shares"),
+    )
+    placed = members.join(sizes, "w")
+
+    def every(n: str):
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    def own(n: str):
+        return F.pmod(F.xxhash64("set_no"), F.col(n)).cast("int")
+
+    scanned = placed.where("label <> main").select("w", own("shares").alias("i"), every("blocks").alias("j"), "set_no", "label", F.lit(True).alias("scan"))
+    others = placed.select("w", every("shares").alias("i"), own("blocks").alias("j"), "set_no", "label", F.lit(False).alias("scan"))
+    both = scanned.unionByName(others).groupBy("w", "i", "j", "set_no", "label").agg(F.max("scan").alias("scan"))
+    dealt = both.join(sets, "set_no").select("w", "i", "j", "set_no", "hashes", "label", "scan")
+    return dealt.groupBy("w", "i", "j").applyInArrow(lambda t: _forest(t, percent), "a long, b long")
+
+
+def bucket_links(buckets: DataFrame, sets: DataFrame, percent: int, block: int = BLOCK_ELEMENTS) -> DataFrame:
     """Links (a, b) that join the same components as all links between members of one bucket, of ``buckets`` (key,
     set_no, n: size of the set, weight) and ``sets`` (set_no, hashes), both written tables, the latter in buckets by
     set_no, so that pairs are shuffled to the sets and not the sets to the pairs."""
-    rows = buckets.withColumn("label", F.col("set_no"))
-    heaviest = rows.groupBy("key").agg(F.max(F.struct("weight", (-F.col("set_no")).alias("no"))).alias("h"))
-    hubs = stage(heaviest.select((-F.col("h.no")).alias("set_no")).distinct(), "hubs")
-    links, share = stage(_confirmed(_stars(hubs, rows, percent), sets, percent), "links"), GROWTH
-    while True:
-        labels = components(links).withColumnRenamed("node", "set_no")
-        rows = rows.drop("label", "main").join(hubs, "set_no", "left_anti").join(labels, "set_no", "left")
-        rows = rows.withColumn("label", F.coalesce("label", "set_no"))
-        groups = rows.groupBy("key", "label").agg(F.count("*").alias("members"))
-        largest = groups.groupBy("key").agg(F.max(F.struct("members", "label")).alias("most"), F.count("*").alias("groups"))
-        undecided = largest.where("groups > 1").select("key", F.col("most.label").alias("main"))
-        rows = stage(rows.join(undecided, "key"), "open-buckets")
-        first = Window.partitionBy("key").orderBy(F.desc("weight"), "set_no")
-        hubs = rows.where("label <> main").withColumn("turn", F.row_number().over(first)).where(F.col("turn") <= share)
-        hubs = stage(hubs.select("set_no").distinct(), "hubs")
-        if hubs.isEmpty():
-            return links
-        links = links.unionByName(stage(_confirmed(_stars(hubs, rows, percent), sets, percent), "links"))
-        share *= GROWTH
+    links = stage(_confirmed(_stars(buckets, percent), sets, percent), "links")
+    labels = components(links).withColumnRenamed("node", "set_no")
+    rows = buckets.join(labels, "set_no", "left").withColumn("label", F.coalesce("label", "set_no"))
+    least, most = F.min("label").alias("least"), F.max("label").alias("most")
+    undecided = rows.groupBy("key").agg(least, most).where("least <> most").select("key")
+    rows = stage(rows.join(undecided, "key").select("key", "set_no", "n", "label"), "open-buckets")
+    return links.unionByName(stage(_scanned(rows, sets, percent, block), "links"))

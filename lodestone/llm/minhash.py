@@ -4,13 +4,10 @@ The hashes of a set's shingles fall into BINS ranges; the smallest in each range
 hash function gives all of them. An empty bin copies a filled one that a fixed sequence of random places meets first
 (optimal densification), so that two sets agree in a bin with the probability of their similarity, filled or not. ROWS
 bins make a band. Sets at the similarity s share none of the bands with probability (1 - s^ROWS)^(BINS / ROWS): at 0.8
-that is 1e-7, at 0.85 1e-10 (a little more for sets of a few shingles, whose bins repeat each other).
+that is 2e-5, at 0.85 2e-8; at 0.5, where many texts with a common passage are, four of five do share none.
 
-Equal sets are one class from the start. The classes of a bucket are candidates of each other. First each bucket sends a
-star only: its hub, the class whose buckets are largest together, with each other member. Confirmed links join classes
-to components. A bucket whose members are all in one component is done. In others, those outside its largest component
-become hubs in turn, more of them each round, until every two members that aren't in one component have been compared:
-no candidate link is lost, and copies of a text never meet in pairs.
+Equal sets are one class from the start. The classes of a bucket are candidates of each other: each bucket sends a star,
+its hub with the other members, and what stars leave open is scanned (see bucket_links). No candidate link is lost.
 """
 
 from __future__ import annotations
@@ -24,17 +21,20 @@ from pyspark.sql import functions as F
 
 from lodestone.llm.bucket_links import bucket_links, once
 from lodestone.llm.components import components
-from lodestone.llm.ngram_join import _as_lists, _sets, _signed, _steps
+from lodestone.llm.ngram_join import _as_lists, _different_lists, _sets, _shared_lists, _signed, _steps
 from lodestone.llm.shingles import mix, shingle_sets
 from lodestone.session import stage, stage_bucketed
 
 WORDS = 5
 PERCENT = 80
-BINS = 200
-ROWS = 5
+BINS = 480
+ROWS = 8
+#: Sets whose bins are in memory at a time, 4 kB each.
+STEP_SETS = 2000
 
 _U = np.uint64
-_TARGETS = np.random.default_rng(20240715).integers(0, BINS, (64 * BINS, BINS), dtype=np.int16)
+#: Random places for empty bins, attempt by attempt: (slope, offset) of a hash function each.
+_ATTEMPTS = np.random.default_rng(20240715).integers(1, 2**31 - 1, (4 * BINS, 2))
 
 
 def bins(sets: list[np.ndarray]) -> np.ndarray:
@@ -50,10 +50,10 @@ def bins(sets: list[np.ndarray]) -> np.ndarray:
     out[place[first]] = flat[first]
     filled[place[first]] = True
     row, column = np.divmod(np.flatnonzero(~filled), BINS)
-    for targets in _TARGETS:
+    for slope, offset in _ATTEMPTS.tolist():
         if not len(row):
             break
-        source = row * BINS + targets[column]
+        source = row * BINS + (slope * (column + 1) + offset) % (2**31 - 1) % BINS
         hit = filled[source]
         out[row[hit] * BINS + column[hit]] = out[source[hit]]
         row, column = row[~hit], column[~hit]
@@ -67,13 +67,14 @@ def band_keys(sets: list[np.ndarray]) -> list[np.ndarray]:
     """The bucket keys of each set, one a band; none of an empty set."""
     some = [i for i, s in enumerate(sets) if len(s)]
     out = [np.zeros(0, _U)] * len(sets)
-    if some:
-        values = bins([sets[i] for i in some])
-        total = np.zeros((len(some), BINS // ROWS), _U)
+    for first in range(0, len(some), STEP_SETS):
+        part = some[first : first + STEP_SETS]
+        values = bins([sets[i] for i in part])
+        total = np.zeros((len(part), BINS // ROWS), _U)
         for j in range(ROWS):
             total += mix(values[:, j::ROWS], 300 + j)
         keys = mix(total + np.arange(BINS // ROWS, dtype=_U) * _U(0x9E3779B97F4A7C15))
-        for i, own in zip(some, keys):
+        for i, own in zip(part, keys):
             out[i] = own
     return out
 
@@ -94,15 +95,6 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id {kind}, n_shingles long, s1 long, s2 long, bands array<long>")
 
 
-def _buckets(classes: DataFrame) -> DataFrame:
-    """(key, set_no, n, weight) of buckets with two members or more; a class weighs what its buckets hold together."""
-    rows = classes.select(F.explode("bands").alias("key"), "set_no", F.col("n_shingles").alias("n"))
-    sizes = rows.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
-    rows = stage(rows.join(sizes, "key"), "bucket-rows")
-    weights = rows.groupBy("set_no").agg(F.sum("members").alias("weight"))
-    return stage(rows.drop("members").join(weights, "set_no").select("key", "set_no", "n", "weight"), "buckets")
-
-
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per row of ``docs`` (doc_id, text).
 
@@ -117,7 +109,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     classes = signed.where("n_shingles > 0").groupBy("n_shingles", "s1", "s2")
     classes = classes.agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
     classes = stage(classes.withColumn("set_no", F.monotonically_increasing_id()), "classes")
-    buckets = _buckets(classes)
+    buckets = _different_lists(stage(_shared_lists(classes.withColumnRenamed("bands", "keys")), "buckets"))
     plain = classes.drop("bands")
     wanted = plain.join(buckets.select("set_no").distinct(), "set_no", "left_semi")
     wanted = stage(wanted.select("set_no", "rep", "s1", "s2"), "wanted")

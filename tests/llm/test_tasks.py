@@ -57,8 +57,8 @@ def brute_components(rows, k, percent):
     return sorted(((d, len(s), least[g]) for (d, _), s, g in zip(rows, sets, group)), key=str)
 
 
-@pytest.mark.parametrize(("k", "percent", "hot"), [(3, 90, 10**6), (5, 80, 10**6), (3, 90, 0)])
-def test_ngram_components(spark, monkeypatch, k, percent, hot):
+@pytest.mark.parametrize(("k", "percent", "hot", "block"), [(3, 90, 10**6, 10**6), (5, 80, 10**6, 400), (3, 90, 0, 400)])
+def test_ngram_components(spark, monkeypatch, k, percent, hot, block):
     monkeypatch.setattr(ngram_join, "HOT_ROWS", hot)
     rng = random.Random(k)
     rows = [(100, None), (101, ""), (102, " \n"), (103, "One two"), (104, "one TWO"), (105, "one"), (None, "one two"), (None, "lone words here now")]
@@ -67,7 +67,7 @@ def test_ngram_components(spark, monkeypatch, k, percent, hot):
         for e in (0, 0, 1, 1, 2, 3, 5, 8):
             rows.append((len(rows), edited(rng, text, e)))
     rows += [(5, "repeated id with other words than before"), (200, "w " * 6000)]
-    got = ngram_join.ngram_components(docs_of(spark, rows), k, percent).collect()
+    got = ngram_join.ngram_components(docs_of(spark, rows), k, percent, block).collect()
     assert sorted(map(tuple, got), key=str) == brute_components(rows, k, percent)
 
 
