@@ -14,12 +14,12 @@ import time
 
 from checks import fixtures as fx
 from checks import queries as registered
-from lodestone.operators import rank, termstats
+from lodestone.operators import blockmax, rank, termstats
 from lodestone.operators.graph import pagerank
 from lodestone.plans import search as plans
 from lodestone.session import scratch_dir, spark_session, stage
 from lodestone.sources import corpus
-from lodestone.sources.index_store import append_docs, lookup_postings, write_index
+from lodestone.sources.index_store import append_docs, compact_index, lookup_postings, write_index
 
 
 def main() -> None:
@@ -70,9 +70,12 @@ def main() -> None:
     write_index(docs.where("doc_id % 10 > 0"), f"{root}/grown", "simple", fx.MIN_DF_BODY)
     timed("index_append", lambda: append_docs(docs.where("doc_id % 10 = 0"), f"{root}/grown"), False)
 
+    timed("index_compact", lambda: compact_index(spark, f"{root}/grown"), False)
+
     timed("posting_lookup", lambda: lookup_postings(body, fx.SAMPLE_TERMS))
     timed("bm25_body", lambda: rank.bm25(body, questions))
     timed("bm25_body_top100", lambda: rank.top_k(rank.bm25(body, questions), 100, 5))
+    timed("bm25_blockmax_top10", lambda: blockmax.bm25_top_k(body, questions, 10, 5))
     timed("search_body", lambda: plans.search_body(body, questions, titles))
     timed("search_title", lambda: plans.search_title(title, questions, titles))
     timed("search_anchor", lambda: plans.search_anchor(anchors, registered._link_queries(spark, sf_dir), page_titles))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lodestone.llm import bpe, decontam, ngram_join, pii, quality
 from lodestone.llm.common import table
 from lodestone.llm.queries import bpe_digests
-from lodestone.session import scratch_dir
+from lodestone.session import scratch, scratch_dir
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,6 +58,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = f"{scratch_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for k, (name, stage) in enumerate(STAGES):
         path = f"{root}/{k}-{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs

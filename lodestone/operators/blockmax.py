@@ -4,7 +4,8 @@ Documents are in blocks of similar length. For each term and block the index kno
 length, from which follows the most that the term can add to a document of the block, for any k1, b and average length.
 A first pass adds these up to a bound per query and block. The blocks with the largest bounds are scored; the k-th best
 score there is a lower bound of what a result needs, and of the other blocks only those are scored whose bound reaches
-it. The rows are those of the complete ranking, cut at k.
+it. The first k blocks of a query have k documents at least, so there is such a bound unless there are fewer blocks. The
+rows are those of the complete ranking, cut at k.
 """
 
 from __future__ import annotations
@@ -19,8 +20,6 @@ from lodestone.operators.index import Index
 from lodestone.operators.rank import candidates, known_query_terms, score_sums, top_k
 from lodestone.session import stage
 
-#: Blocks that are scored at once, for each of the k results, and at least.
-FIRST_BLOCKS, LEAST_BLOCKS = 0.1, 4
 #: Bounds are sums of rounded numbers.
 SLACK = 1e-9
 
@@ -54,7 +53,6 @@ def bm25_top_k(
     bounds = stage(bounds.select("query_id", "term", "term_no", "df", "idf", "block", "bound"), "bounds")
     upper = bounds.groupBy("query_id", "block").agg(F.sum("bound").alias("upper"))
     by_bound = Window.partitionBy("query_id").orderBy(F.desc("upper"), "block")
-    first = max(LEAST_BLOCKS, round(FIRST_BLOCKS * k))
     upper = stage(upper.withColumn("place", F.row_number().over(by_bound)), "upper")
 
     def scored(chosen: DataFrame) -> DataFrame:
@@ -62,9 +60,9 @@ def bm25_top_k(
         pairs = candidates(index, asked.drop("bound"), keys=["block"])
         return score_sums(pairs, weight("tf", "doc_len"))
 
-    sure = stage(scored(upper.where(F.col("place") <= first)), "first-blocks")
+    sure = stage(scored(upper.where(F.col("place") <= k)), "first-blocks")
     by_score = Window.partitionBy("query_id").orderBy(F.desc("score"))
     kth = sure.withColumn("place", F.row_number().over(by_score)).where(F.col("place") == k)
-    rest = upper.where(F.col("place") > first).join(kth.select("query_id", F.col("score").alias("needed")), "query_id", "left")
+    rest = upper.where(F.col("place") > k).join(kth.select("query_id", F.col("score").alias("needed")), "query_id", "left")
     rest = rest.where(F.col("needed").isNull() | _passes(F.col("upper"), F.col("needed"), digits))
     return top_k(sure.unionByName(scored(rest)), k, digits)

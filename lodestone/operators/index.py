@@ -57,7 +57,7 @@ class Index:
 
 
 #: Documents whose lengths differ by up to the square root of 2 can share a block; so many blocks hold them.
-LENGTH_STEPS, BLOCKS_PER_LENGTH = 2, 1 << 10
+LENGTH_STEPS, BLOCKS_PER_LENGTH = 2, 1 << 16
 
 
 def doc_block(doc_id: Column, doc_len: Column) -> Column:

@@ -60,8 +60,10 @@ def candidates(
         if len(named) <= NAMED_TERMS:
             asked = sorted({bucket for bucket, _ in named})
             postings = postings.where(named_in("term", sorted(term for _, term in named)))
-        else:
+        elif index.n_buckets > 1:
             asked = sorted(row["bucket"] for row in terms.select("bucket").distinct().collect())
+        else:
+            asked = [0]
         postings = postings.where(F.col("bucket").isin(asked))
     if salt_rows:
         parts = F.ceil(F.col("df") / salt_rows)

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_scratch: list[tempfile.TemporaryDirectory] = []
+#: Folders of intermediate tables, in the order in which they were begun.
+_staged: list[str] = []
 
 
 def spark_session(master: str | None = None, app: str = "lodestone", **conf) -> SparkSession:
@@ -53,11 +57,25 @@ def folder_bytes(spark: SparkSession, path: str) -> int:
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end the intermediate tables that were written within it. Results that read them have to be
+    written or collected by then; calls may be nested."""
+    first = len(_staged)
+    try:
+        yield
+    finally:
+        for path in _staged[first:]:
+            remove_folder(spark, path)
+        del _staged[first:]
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write a result that several later steps read, and continue from the written table: the work is done
     once, survives lost executors, and is read back column by column."""
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _staged.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -72,6 +90,7 @@ def stage_bucketed(df: DataFrame, *keys: str) -> DataFrame:
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"lodestone_{uuid.uuid4().hex}"
     path = f"{scratch_dir(spark)}/{name}"
+    _staged.append(path)
     df.repartition(n, *keys).write.bucketBy(n, *keys).sortBy(*keys).option("path", path).saveAsTable(name)
     staged = spark.table(name)
     spark.sql(f"DROP TABLE {name}")

@@ -7,9 +7,10 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from lodestone import session
 from lodestone.operators.index import build_index
 from lodestone.operators.rank import bm25, match_count, top_k
-from lodestone.session import stage, stage_bucketed
+from lodestone.session import scratch, stage, stage_bucketed
 from lodestone.sources import corpus
 from lodestone.sources.index_store import write_index
 
@@ -143,3 +144,15 @@ def test_only_the_buckets_of_query_terms_are_read(spark, hot, tmp_path, n):
 def test_rankers_do_not_filter_by_the_dictionary(spark, hot):
     docs, queries = hot
     assert "LeftSemi" not in plan(bm25(build_index(docs, "simple", min_df=5), queries))
+
+
+def test_scratch_is_removed(spark, docs, queries, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "scratch_dir", lambda _: str(tmp_path))
+    kept = stage(docs, "kept")
+    with scratch(spark):
+        index = build_index(docs, "simple")
+        with scratch(spark):
+            stage_bucketed(docs, "doc_id").count()
+        found = top_k(bm25(index, queries), 3).collect()
+    assert found and [p.name.split("-")[0] for p in tmp_path.iterdir()] == ["kept"]
+    assert kept.count() == docs.count()
