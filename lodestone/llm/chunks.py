@@ -9,6 +9,7 @@ is one chunk.
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import repeat
 
 import numpy as np
 
@@ -34,12 +35,15 @@ def chunks(text: str) -> list[str]:
 class Encoded:
     """The tokens of chunks. ``encode`` gets the chunks that are new and returns all their ids in a row, and how many
     each has. At most ``keep`` characters and ids are kept from one call to the next; forgetting them only costs
-    time."""
+    time. Texts that hold one of ``whole`` are one chunk."""
 
     def __init__(
-        self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], keep: int = 6_000_000
+        self,
+        encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]],
+        keep: int = 6_000_000,
+        whole: tuple[str, ...] = (),
     ) -> None:
-        self.encode, self.keep = encode, keep
+        self.encode, self.keep, self.whole = encode, keep, whole
         self._forget()
 
     def _forget(self) -> None:
@@ -48,6 +52,12 @@ class Encoded:
         self.starts = np.zeros(1 << 14, np.int64)
         self.size = 0
 
+    def _cut(self, text: str) -> list[str]:
+        for content in self.whole:
+            if content in text:
+                return [text]
+        return chunks(text)
+
     def _learn(self, new: list[str]) -> None:
         got, lengths = self.encode(new)
         n, first = len(self.place), int(self.starts[len(self.place)])
@@ -65,16 +75,17 @@ class Encoded:
         """All ids of the texts in a row, and the place after each text's last one. Null is an empty text."""
         if self.size > self.keep:
             self._forget()
-        cut = [chunks(x) if x else [] for x in texts]
+        cut = [self._cut(x) if x else [] for x in texts]
         per_text = np.fromiter(map(len, cut), np.int64, len(cut))
         flat = [c for part in cut for c in part]
         if not flat:
             return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
-        found = list(map(self.place.get, flat))
-        if None in found:
-            self._learn(list(dict.fromkeys(c for c, at in zip(flat, found) if at is None)))
-            found = list(map(self.place.get, flat))
-        places = np.array(found, np.int64)
+        places = np.fromiter(map(self.place.get, flat, repeat(-1)), np.int64, len(flat))
+        unknown = np.flatnonzero(places < 0)
+        if len(unknown):
+            new = [flat[i] for i in unknown.tolist()]
+            self._learn(list(dict.fromkeys(new)))
+            places[unknown] = np.fromiter(map(self.place.get, new), np.int64, len(new))
         begin, length = self.starts[places], self.starts[places + 1] - self.starts[places]
         ids = gather(self.ids, begin, length)
         ends = np.concatenate([[0], np.cumsum(length)])
@@ -99,3 +110,9 @@ def slices(lengths, limit: int):
         total += n
     if len(lengths) > first:
         yield first, len(lengths)
+
+
+def plain(chunk: str) -> bool:
+    """Whether a chunk is one run of other characters than white space, perhaps after a space."""
+    parts = chunk.split()
+    return len(parts) == 1 and (len(parts[0]) == len(chunk) or chunk == " " + parts[0])

@@ -1,8 +1,8 @@
 """Token-id files: ids of all documents in ascending doc_id order, as grammar-compressed shards with random access.
 
-A shard's ids are compressed by Re-Pair in rounds: each round counts the pairs of neighbouring symbols, makes the most
-frequent ones nonterminals and replaces them from left to right; pairs of nonterminals are found by later rounds. A
-shard stores its rules, how many ids each nonterminal expands to, and the remaining symbols, so that any range of its
+A shard's ids are compressed by Re-Pair in rounds: each round counts the pairs of neighbouring symbols, makes those that
+occur MIN_COUNT times nonterminals and replaces them from left to right, where pairs overlap the first; pairs of
+nonterminals are found by later rounds, until no pair is frequent. A shard stores its rules, how many ids each nonterminal expands to, and the remaining symbols, so that any range of its
 ids is found by adding up lengths and decoded by expanding only what is in it.
 
 A file is a Parquet file of shards, written and read by Spark on any store: (part, seq) order the shards, ``doc_ids``
@@ -16,7 +16,6 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,58 +27,76 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
-from lodestone.llm.chunks import Encoded, slices
+from lodestone.llm.chunks import Encoded, gather, plain, slices
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 0
 STEP_CHARS = 2_000_000
 #: Ids in a shard, unless one document has more.
 SHARD_IDS = 4_000_000
-#: Rounds of Re-Pair, nonterminals made in one, and how often a pair has to occur.
-ROUNDS = 3
-RULES_PER_ROUND = 4096
-MIN_COUNT = 8
+#: How often a pair has to occur in a shard to become a nonterminal.
+MIN_COUNT = 64
+#: Characters and ids of chunks that a worker keeps.
+KEEP = 10_000_000
 
 
 @lru_cache(maxsize=2)
 def _encoded(path: str) -> Encoded:
+    """The plain calls of the library, on chunks that are new. Plain chunks are encoded in one text, a newline between
+    them: pre-tokenization makes that newline a token of its own, which no chunk of the kind has."""
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     tokenizer.no_truncation()
+    added = tuple(x.content for x in tokenizer.get_added_tokens_decoder().values())
 
-    def encode(new: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        got = [x.ids for x in tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, got), np.int64, len(got))
-        return np.fromiter(chain.from_iterable(got), np.uint32, int(lengths.sum())), lengths
+    def ids_of(texts: list[str]) -> list[np.ndarray]:
+        return [np.array(x.ids, np.uint32) for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    between = ids_of(["a\nb"])[0][1:-1]
 
-    return Encoded(encode)
+    def encode(new: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        joined = len(between) == 1
+        easy = [joined and plain(x) and not any(a in x for a in added) for x in new]
+        some = [x for x, is_easy in zip(new, easy) if is_easy]
+        flat = ids_of(["\n".join(some)])[0] if some else np.zeros(0, np.uint32)
+        cuts = np.flatnonzero(flat == between[0]) if some else np.zeros(0, np.int64)
+        if some and len(cuts) != len(some) - 1:
+            raise ValueError("a chunk has a token of a newline")
+        lengths = np.zeros(len(new), np.int64)
+        at = np.flatnonzero(easy)
+        lengths[at] = np.diff(cuts, prepend=-1, append=len(flat))[: len(at)] - 1
+        rest = ids_of([x for x, is_easy in zip(new, easy) if not is_easy])
+        others = np.flatnonzero(~np.array(easy, bool))
+        lengths[others] = [len(x) for x in rest]
+        out = np.empty(int(lengths.sum()), np.uint32)
+        ends = np.cumsum(lengths)
+        for i, ids in zip(others.tolist(), rest):
+            out[ends[i] - len(ids) : ends[i]] = ids
+        out[gather(np.arange(len(out)), ends[at] - lengths[at], lengths[at])] = np.delete(flat, cuts)
+        return out, lengths
+
+    return Encoded(encode, KEEP, added)
 
 
 # --- Re-Pair ---------------------------------------------------------------------------------------
 
 
-def _frequent(code: np.ndarray, limit: int, min_count: int) -> np.ndarray:
-    """The ``limit`` most frequent codes that occur ``min_count`` times. A hash table of counts leaves most rare ones
-    out before the rest is sorted."""
+def _frequent(code: np.ndarray, min_count: int) -> np.ndarray:
+    """The codes that occur ``min_count`` times. A hash table of counts leaves most rare ones out before the rest is
+    sorted."""
     bucket = (code * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(44)).astype(np.int32)
     often = np.bincount(bucket, minlength=1 << 20)[bucket] >= min_count
     codes, counts = np.unique(code[often], return_counts=True)
-    codes, counts = codes[counts >= min_count], counts[counts >= min_count]
-    if len(codes) > limit:
-        codes = codes[np.argsort(-counts, kind="stable")[:limit]]
-    return np.sort(codes)
+    return codes[counts >= min_count]
 
 
-def compress(ids: np.ndarray, rounds: int = ROUNDS, per_round: int = RULES_PER_ROUND, min_count: int = MIN_COUNT) -> bytes:
-    """The payload of a shard."""
+def compress(ids: np.ndarray, min_count: int = MIN_COUNT) -> bytes:
+    """The payload of a shard. Rounds go on until no pair occurs ``min_count`` times."""
     symbols = ids.astype(np.uint32)
     terminals = int(symbols.max()) + 1 if len(symbols) else 0
     rules = np.zeros((0, 2), np.uint32)
-    for _ in range(rounds):
-        if len(symbols) < 2:
-            break
+    while len(symbols) > 1:
         code = symbols[:-1].astype(np.uint64) << np.uint64(32) | symbols[1:]
-        chosen = _frequent(code, per_round, min_count)
+        chosen = _frequent(code, min_count)
         if not len(chosen):
             break
         at = np.searchsorted(chosen, code)
@@ -163,9 +180,10 @@ def read_range(payload: bytes, start: int, stop: int) -> np.ndarray:
 def write_token_files(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, end_id: int = END_ID, shard_ids: int = SHARD_IDS) -> None:
     """Writes the ids of ``docs`` (doc_id, text), each document with ``end_id`` after its own, into a new folder.
 
-    Documents are in ascending doc_id order, those without an id first, rows that share an id by text. A null text is
-    empty: the end id alone. Other columns are not written; no document, no shard. One range shuffle of the texts
-    orders them; a task holds the ids of one shard.
+    Documents are in ascending doc_id order, those without an id first, rows that share an id by a hash of their text,
+    by which very many of them are dealt over tasks, too. A null text is empty: the end id alone. Other columns are not
+    written; no document, no shard. One range shuffle of the texts orders them; a task holds the ids of one shard.
+    Texts with the content of an added token have its id, as in the library's plain call.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"part int, seq int, n_tokens long, doc_ids array<{kind}>, doc_tokens array<long>, payload binary"
@@ -201,13 +219,15 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, en
 
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = rows.repartitionByRange(tasks, "doc_id").sortWithinPartitions("doc_id", "text")
-    ordered.mapInArrow(run, schema).write.parquet(path)
+    rows = rows.withColumn("tie", F.xxhash64("text"))
+    ordered = rows.repartitionByRange(tasks, "doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text")
+    ordered.select("doc_id", "text").mapInArrow(run, schema).write.parquet(path)
 
 
 def read_token_files(spark, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of each document in the files: the ids of all documents before it, its own
-    with the end id, and the unsigned CRC-32 of them as little-endian 32-bit integers."""
+    with the end id, and the unsigned CRC-32 of them as little-endian 32-bit integers. Shards' first places are summed
+    over all shards in one task, a row of three numbers per SHARD_IDS ids."""
     shards = spark.read.parquet(path)
     sums = shards.select("part", "seq", "n_tokens")
     before = F.sum("n_tokens").over(Window.orderBy("part", "seq")) - F.col("n_tokens")
