@@ -8,13 +8,17 @@ The sets of the others, in groups that share buckets, are scanned: a task indexe
 the inverted lists of one set at a time give its overlap with all others there. Only sets outside the group's largest
 component are scanned, against all of it, and only links of a spanning forest leave a task. A group of more than a block
 is dealt over tasks, shares of the scanned sets with each block. So no link is lost.
+
+Where buckets overlap widely without links, as lists of common shingles do, groups get large: ``star_links`` stays within
+the buckets instead. Those outside a bucket's largest component become hubs of it in turn, more of them each round,
+until every two members that aren't in one component have been compared.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestone.llm.chunks import gather
@@ -23,6 +27,8 @@ from lodestone.session import stage, stage_bucketed
 
 #: Shingles in a block of a group's sets.
 BLOCK_ELEMENTS = 1_000_000
+#: Each round of star_links takes so many times as many hubs of a bucket as the one before.
+GROWTH = 8
 
 _U = np.uint64
 
@@ -118,3 +124,29 @@ def bucket_links(buckets: DataFrame, sets: DataFrame, percent: int, block: int =
     undecided = rows.groupBy("key").agg(least, most).where("least <> most").select("key")
     rows = stage(rows.join(undecided, "key").select("key", "set_no", "n", "label"), "open-buckets")
     return links.unionByName(stage(_scanned(rows, sets, percent, block), "links"))
+
+
+def star_links(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The same by stars alone."""
+    links = stage(_confirmed(_stars(buckets, percent), sets, percent), "links")
+    first = Window.partitionBy("key").orderBy(F.desc("weight"), "set_no")
+    heaviest = buckets.groupBy("key").agg(F.max_by("set_no", F.struct("weight", -F.col("set_no"))).alias("set_no"))
+    rows, done, share = buckets, heaviest.select("key", "set_no"), GROWTH
+    while True:
+        labels = components(links).withColumnRenamed("node", "set_no")
+        rows = rows.select("key", "set_no", "n", "weight").join(done, ["key", "set_no"], "left_anti")
+        rows = rows.join(labels, "set_no", "left").withColumn("label", F.coalesce("label", "set_no"))
+        groups = rows.groupBy("key", "label").agg(F.count("*").alias("members"))
+        largest = groups.groupBy("key").agg(F.max(F.struct("members", "label")).alias("most"), F.count("*").alias("groups"))
+        undecided = largest.where("groups > 1").select("key", F.col("most.label").alias("main"))
+        rows = stage(rows.join(undecided, "key"), "open-buckets")
+        hubs = rows.where("label <> main").withColumn("turn", F.row_number().over(first)).where(F.col("turn") <= share)
+        hub = [F.col(x).alias(y) for x, y in (("set_no", "hub"), ("n", "hub_n"), ("label", "hub_label"))]
+        hubs = stage(hubs.select("key", *hub), "hubs")
+        if hubs.isEmpty():
+            return links
+        met = rows.join(hubs, "key").where("label <> hub_label")
+        met = met.where(100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n"))
+        met = met.select(F.least("hub", "set_no").alias("a"), F.greatest("hub", "set_no").alias("b")).distinct()
+        links = links.unionByName(stage(_confirmed(met, sets, percent), "links"))
+        done, share = hubs.select("key", F.col("hub").alias("set_no")), share * GROWTH

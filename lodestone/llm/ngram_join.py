@@ -9,9 +9,8 @@ where hashes collide the order is worse, but it is the same for all sets, so no
 The boundary is the size up to which a set's subsets cost less than its lists, at the length that a list has on average
 by the counted frequencies. Sets that can be linked across it take both ways.
 
-Equal sets are one class from the start. Each list sends a star first, and where that leaves several components the
-inverted lists of all shingles are scanned (see bucket_links); links are confirmed on full sets. Lists that hold the same
-sets count once.
+Equal sets are one class from the start. Lists are scanned by stars (see star_links), and links are confirmed on full
+sets. Lists that hold the same sets are scanned once.
 """
 
 from __future__ import annotations
@@ -26,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.bucket_links import BLOCK_ELEMENTS, bucket_links, once
+from lodestone.llm.bucket_links import once, star_links
 from lodestone.llm.chunks import slices
 from lodestone.llm.common import small
 from lodestone.llm.components import components
@@ -249,9 +248,7 @@ def _different_lists(rows: DataFrame) -> DataFrame:
     return stage(rows.drop("members").join(weights, "set_no").select("key", "set_no", "n", "weight"), "lists")
 
 
-def ngram_components(
-    docs: DataFrame, words: int = WORDS, percent: int = PERCENT, block: int = BLOCK_ELEMENTS
-) -> DataFrame:
+def ngram_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row per row of ``docs`` (doc_id, text).
 
     Sets are those of ``words``-word shingles of the lower-cased (A-Z) words; two documents are linked if 100 times
@@ -268,7 +265,7 @@ def ngram_components(
     plain = classes.drop("keys")
     wanted = plain.join(lists.select("set_no").distinct(), "set_no", "left_semi").select("set_no", "rep", "s1", "s2")
     sets = once(stage_bucketed(_sets(docs, stage(wanted, "wanted"), words), "set_no"))
-    labels = components(bucket_links(lists, sets, percent, block)).withColumnRenamed("node", "set_no")
+    labels = components(star_links(lists, sets, percent)).withColumnRenamed("node", "set_no")
     labelled = plain.join(labels, "set_no", "left").withColumn("label", F.coalesce("label", "set_no"))
     smallest = labelled.groupBy("label").agg(F.min("rep").alias("component_id"))
     labelled = labelled.join(smallest, "label").select("n_shingles", "s1", "s2", "component_id")

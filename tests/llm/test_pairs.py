@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestone.llm import hard_negatives, minhash, prefix_trie
+from lodestone.llm.bucket_links import bucket_links
 from tests.llm.brute_trie import brute
 from tests.llm.test_tasks import brute_components, docs_of, edited, sentence
 
@@ -88,7 +89,9 @@ def test_walks_end_early_and_miss_nothing():
 # --- MinHash ---------------------------------------------------------------------------------------
 
 
-def test_near_duplicates(spark):
+@pytest.mark.parametrize("block", [10**6, 400])
+def test_near_duplicates(spark, monkeypatch, block):
+    monkeypatch.setattr(minhash, "bucket_links", lambda *x: bucket_links(*x, block))
     rng = random.Random(12)
     rows = [(100, None), (101, ""), (102, " \n"), (103, "One two"), (104, "one TWO"), (105, "one"), (None, "one two"), (None, "lone words here now")]
     for n in (8, 12, 22, 60, 150, 400):
