@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from lodestone import session
 from lodestone.operators.index import build_index
-from lodestone.operators.rank import bm25, match_count, top_k
+from lodestone.operators.rank import bm25, candidates, known_query_terms, match_count, top_k
 from lodestone.session import scratch, stage, stage_bucketed
-from lodestone.sources import corpus
-from lodestone.sources.index_store import write_index
+from lodestone.sources import corpus, index_store
+from lodestone.sources.index_store import append_docs, write_index
 
 
 @contextlib.contextmanager
@@ -77,6 +77,50 @@ def test_frequent_terms_are_split_in_large_batches(spark, hot):
         assert "salt" in per_salt
 
 
+def test_pairs_of_small_batches_are_grouped_where_they_are(spark, hot):
+    """Postings are dealt by document before they meet the queries, salted or not."""
+    docs, queries = hot
+    index = build_index(docs, "simple")
+    for options in ({}, {"salt_rows": 500}):
+        joined = plan(bm25(index, queries, **options))
+        assert "Exchange hashpartitioning(doc_id" in joined and "Exchange hashpartitioning(query_id" not in joined
+
+
+def test_salt_has_no_more_parts_than_tasks(spark, hot):
+    docs, queries = hot
+    index = build_index(docs, "simple")
+    scored = match_count(index, queries, salt_rows=1)
+    assert scored.exceptAll(match_count(index, queries)).isEmpty() and scored.count() == 6000 * 6
+    salts = candidates(index, known_query_terms(index, queries), salt_rows=1).select("salt").distinct().count()
+    assert salts <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_kept_terms_have_files_of_their_own(spark, hot, tmp_path):
+    """So that the planner knows that they are small."""
+    docs, _ = hot
+    path = str(tmp_path / "i")
+    write_index(docs.where("doc_id % 2 = 0"), path, "simple", min_df=100, norms=True)
+    index = append_docs(docs.where("doc_id % 2 = 1"), path)
+    assert all("/kept/gen=1/" in file for file in index.terms.inputFiles())
+    assert [tuple(r) for r in index.terms.collect()] == [("everywhere", 6000, 6000)]
+
+
+def test_bounds_of_a_term_are_bounded(spark, tmp_path):
+    """One for each block at most, and documents of one length are in 1,024 blocks."""
+    docs = spark.range(0, 20_000, 1, 4).select(F.col("id").alias("doc_id"), F.lit("word").alias("text"))
+    index = write_index(docs, str(tmp_path / "i"), "simple")
+    assert index.impacts.count() <= 1024
+
+
+def test_ranges_follow_the_size(spark, hot, tmp_path, monkeypatch):
+    docs, _ = hot
+    monkeypatch.setattr(index_store, "RANGE_BYTES", 4000)
+    index = write_index(docs, str(tmp_path / "i"), "simple", n_buckets=1)
+    files = glob.glob(f"{tmp_path}/i/postings/gen=0/bucket=0/*.parquet")
+    assert len(files) > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert index.postings.count() == build_index(docs, "simple").postings.count()
+
+
 def test_top_k_is_cut_before_the_shuffle(spark, hot):
     docs, queries = hot
     scored = bm25(build_index(docs, "simple"), queries)
@@ -156,3 +200,11 @@ def test_scratch_is_removed(spark, docs, queries, tmp_path, monkeypatch):
         found = top_k(bm25(index, queries), 3).collect()
     assert found and [p.name.split("-")[0] for p in tmp_path.iterdir()] == ["kept"]
     assert kept.count() == docs.count()
+
+
+def test_link_queries_are_those_of_every_fiftieth_page(spark, tmp_path):
+    from checks.queries import _link_queries
+
+    pages = spark.range(120).selectExpr("id AS page_id", "concat('<title>Page ', id, '</title>') AS html")
+    pages.write.parquet(f"{tmp_path}/pages.parquet")
+    assert sorted(map(tuple, _link_queries(spark, str(tmp_path)).collect())) == [(k, f"Page {k}") for k in (0, 50, 100)]
