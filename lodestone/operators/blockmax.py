@@ -50,19 +50,18 @@ def bm25_top_k(
 
     blocks = replace(index, postings=index.impacts, counted=None)
     bounds = candidates(blocks, q_terms).withColumn("bound", weight("max_tf", "min_len"))
-    bounds = stage(bounds.select("query_id", "term", "term_no", "df", "idf", "block", "bound"), "bounds")
     upper = bounds.groupBy("query_id", "block").agg(F.sum("bound").alias("upper"))
     by_bound = Window.partitionBy("query_id").orderBy(F.desc("upper"), "block")
     upper = stage(upper.withColumn("place", F.row_number().over(by_bound)), "upper")
+    first = upper.where(F.col("place") <= k).select("query_id", "block")
 
-    def scored(chosen: DataFrame) -> DataFrame:
-        asked = bounds.join(chosen.select("query_id", "block"), ["query_id", "block"])
-        pairs = candidates(index, asked.drop("bound"), keys=["block"])
+    def score(pairs: DataFrame) -> DataFrame:
         return score_sums(pairs, weight("tf", "doc_len"))
 
-    sure = stage(scored(upper.where(F.col("place") <= k)), "first-blocks")
+    sure = stage(score(candidates(index, q_terms.join(first, "query_id"), keys=["block"])), "first-blocks")
     by_score = Window.partitionBy("query_id").orderBy(F.desc("score"))
     kth = sure.withColumn("place", F.row_number().over(by_score)).where(F.col("place") == k)
     rest = upper.where(F.col("place") > k).join(kth.select("query_id", F.col("score").alias("needed")), "query_id", "left")
     rest = rest.where(F.col("needed").isNull() | _passes(F.col("upper"), F.col("needed"), digits))
-    return top_k(sure.unionByName(scored(rest)), k, digits)
+    rest = stage(rest.select("query_id", "block"), "further-blocks")
+    return top_k(sure.unionByName(score(candidates(index, q_terms, within=rest))), k, digits)
