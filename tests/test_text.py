@@ -9,6 +9,7 @@ from lodestone.functions.analyzers import analyze, analyzer, extract_classes
 from lodestone.functions.patterns import RICH_TOKEN, SIMPLE_TOKEN, TOKEN_CLASSES, spark_pattern
 from lodestone.functions.stemmer import porter_stem, stem_tokens
 from lodestone.functions.words import STOPWORDS
+from lodestone.operators.termstats import class_counts
 
 ADVERSARIAL = [
     "#tag @user don't well-known 5% 1,234.56 10:30 a.m. www.site.com 12/05/2020 u.s.a. <b>x</b>",
@@ -132,6 +133,31 @@ def test_stem_arrays(spark):
     assert out == [["cat", "hop", "cat"], [], None, ["news"]]
 
 
+def test_class_counts(spark):
+    """Matches are counted in their row; of rows that come once nothing is shuffled, others are added up, null with null."""
+    rows = [(1, "12:30 May 12:30 3 May 2020"), (2, "at 7:05"), (None, "12:30 <b>"), (None, "12:30 <b> <b>"), (3, None), (4, "")]
+    want = {(1, "time", "12:30", 2), (1, "date", "3 May 2020", 1), (2, "time", "7:05", 1)}
+    df = spark.createDataFrame(rows, "id int, text string")
+    again = class_counts(df, "text", ["time", "date", "html"])
+    assert sorted(map(str, again.collect())) == sorted(map(str, class_counts(df.repartition(3), "text", ["time", "date", "html"]).collect()))
+    assert {tuple(r) for r in again.collect()} == want | {(None, "time", "12:30", 2), (None, "html", "<b>", 3)}
+    once = class_counts(df.where("id < 3"), "text", ["time", "date", "html"])
+    assert {tuple(r) for r in once.collect()} == want
+    assert "Exchange" not in once._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["slash_date", "date", "time"])
+def test_places_that_are_not_tried(spark, name):
+    """The first characters of a pattern leave its matches as they are."""
+    rng = random.Random(8)
+    parts = ["1", "0", "12", "/", "05", "2020", " ", ",", "Jan", "January", "Feb", "May", "Sept", "ember", "3 May ", "12 Feb ", "March 7, ", "1995", ":", ".", "AM", "p.m.", "a", "é", "_"]
+    texts = ["".join(rng.choice(parts) for _ in range(12)) for _ in range(4000)]
+    plain = F.regexp_extract_all("text", F.lit(spark_pattern(TOKEN_CLASSES[name])), F.lit(0)).alias("want")
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    want = sorted(map(tuple, df.select("id", F.explode(plain)).collect()))
+    assert want and sorted((r.id, r.value) for r in extract_classes(df, "text", [name]).collect()) == want
+
+
 def test_extract_classes(spark):
     text = "www.site.com 12/05/2020 3 May 2020 10.45PM 1,234.5 7% u.s.a. well-known <b>"
     df = spark.createDataFrame([(1, text)], "id int, text string")
