@@ -168,3 +168,11 @@ def test_extract_classes(spark):
     assert found["date"] == ["3 May 2020"] and found["time"] == ["10.45PM"]
     assert found["percent"] == ["7%"] and found["html"] == ["<b>"] and "well-known" in found["word"]
     assert "1,234.5" in found["number"] and found["abbreviation"] == ["u.s.a"]
+
+
+@pytest.mark.parametrize("name", ["simple_stem", "rich_stem"])
+def test_exploded_stems_are_made_once(spark, name):
+    df = spark.createDataFrame([(1, "running skies"), (2, ""), (3, None)], "id long, text string")
+    out = analyze(df, "text", name).select("id", F.posexplode("tokens").alias("pos", "term"))
+    assert out._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert sorted(map(tuple, out.collect())) == [(1, 0, "run"), (1, 1, "sky")]
