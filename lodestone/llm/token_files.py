@@ -55,7 +55,10 @@ def _encoded(path: str) -> Encoded:
 
     def encode(new: list[str]) -> tuple[np.ndarray, np.ndarray]:
         joined = len(between) == 1
-        easy = [joined and plain(x) and not any(a in x for a in added) for x in new]
+        easy = [joined and plain(x) for x in new]
+        named = "\n".join(new)
+        for content in (a for a in added if a in named):
+            easy = [is_easy and content not in x for x, is_easy in zip(new, easy)]
         some = [x for x, is_easy in zip(new, easy) if is_easy]
         flat = ids_of(["\n".join(some)])[0] if some else np.zeros(0, np.uint32)
         cuts = np.flatnonzero(flat == between[0]) if some else np.zeros(0, np.int64)
@@ -80,13 +83,20 @@ def _encoded(path: str) -> Encoded:
 # --- Re-Pair ---------------------------------------------------------------------------------------
 
 
-def _frequent(code: np.ndarray, min_count: int) -> np.ndarray:
-    """The codes that occur ``min_count`` times. A hash table of counts leaves most rare ones out before the rest is
-    sorted."""
+def _frequent(code: np.ndarray, min_count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The codes that occur ``min_count`` times, the places that have one, and which. A hash table of counts leaves most
+    rare ones out before the rest is sorted and looked up."""
     bucket = (code * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(44)).astype(np.int32)
-    often = np.bincount(bucket, minlength=1 << 20)[bucket] >= min_count
-    codes, counts = np.unique(code[often], return_counts=True)
-    return codes[counts >= min_count]
+    often = np.flatnonzero((np.bincount(bucket, minlength=1 << 20) >= min_count)[bucket])
+    some = code[often]
+    codes, counts = np.unique(some, return_counts=True)
+    chosen = codes[counts >= min_count]
+    if not len(chosen):
+        return chosen, often[:0], often[:0]
+    at = np.searchsorted(chosen, some)
+    at[at == len(chosen)] = 0
+    hit = chosen[at] == some
+    return chosen, often[hit], at[hit]
 
 
 def compress(ids: np.ndarray, min_count: int = MIN_COUNT) -> bytes:
@@ -96,17 +106,15 @@ def compress(ids: np.ndarray, min_count: int = MIN_COUNT) -> bytes:
     rules = np.zeros((0, 2), np.uint32)
     while len(symbols) > 1:
         code = symbols[:-1].astype(np.uint64) << np.uint64(32) | symbols[1:]
-        chosen = _frequent(code, min_count)
+        chosen, here, at = _frequent(code, min_count)
         if not len(chosen):
             break
-        at = np.searchsorted(chosen, code)
-        at[at == len(chosen)] = 0
-        here = np.flatnonzero(chosen[at] == code)
         # of pairs that overlap in a row, every other one counts
         new_run = np.diff(here, prepend=-2) != 1
         run_start = np.maximum.accumulate(np.where(new_run, np.arange(len(here)), 0))
-        here = here[(np.arange(len(here)) - run_start) % 2 == 0]
-        symbols[here] = terminals + len(rules) + at[here]
+        taken = (np.arange(len(here)) - run_start) % 2 == 0
+        here = here[taken]
+        symbols[here] = terminals + len(rules) + at[taken]
         symbols = np.delete(symbols, here + 1)
         new = np.stack([(chosen >> np.uint64(32)).astype(np.uint32), chosen.astype(np.uint32)], axis=1)
         rules = np.concatenate([rules, new])
