@@ -86,7 +86,7 @@ def _encoded(path: str) -> Encoded:
 def _frequent(code: np.ndarray, min_count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The codes that occur ``min_count`` times, the places that have one, and which. A hash table of counts leaves most
     rare ones out before the rest is sorted and looked up."""
-    bucket = (code * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(44)).astype(np.int32)
+    bucket = (code * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(44)).view(np.int64)
     often = np.flatnonzero((np.bincount(bucket, minlength=1 << 20) >= min_count)[bucket])
     some = code[often]
     codes, counts = np.unique(some, return_counts=True)
