@@ -16,11 +16,14 @@ until every two members that aren't in one component have been compared.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestone.llm.bitmaps import Bitmaps, groups
 from lodestone.llm.chunks import gather
 from lodestone.llm.components import components
 from lodestone.session import stage, stage_bucketed
@@ -29,6 +32,8 @@ from lodestone.session import stage, stage_bucketed
 BLOCK_ELEMENTS = 1_000_000
 #: Each round of star_links takes so many times as many hubs of a bucket as the one before.
 GROWTH = 8
+#: Pairs of hubs and members that star_links compares by bitmaps in one task.
+TASK_PAIRS = 20_000_000
 
 _U = np.uint64
 
@@ -126,27 +131,58 @@ def bucket_links(buckets: DataFrame, sets: DataFrame, percent: int, block: int =
     return links.unionByName(stage(_scanned(rows, sets, percent, block), "links"))
 
 
-def star_links(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The same by stars alone."""
-    links = stage(_confirmed(_stars(buckets, percent), sets, percent), "links")
+def _met(rows: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of the hubs of each bucket with its members that have another label, unless their ``bitmaps`` (set_no, bits)
+    tell that they aren't linked; of ``rows`` (key, set_no, n, label, hub). Pairs are told apart in the task of their
+    bucket; where it has many, its hubs are dealt over several."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, cuts in groups(batches, ["key", "share"]):
+            set_no, n, label = (table.column(c).to_numpy() for c in ("set_no", "n", "label"))
+            hub, bits = table.column("hub").to_numpy(), table.column("bits").to_pylist()
+            a, b = [], []
+            for first, last in zip(cuts, cuts[1:]):
+                own = Bitmaps(n[first:last], bits[first:last], percent)
+                for x in np.flatnonzero(hub[first:last]).tolist():
+                    near = own.near(x, label[first:last] != label[first + x])
+                    a += [set_no[first + x]] * len(near)
+                    b.append(set_no[first:last][near])
+            b = np.concatenate([np.zeros(0, np.int64), *b])
+            a = np.array(a, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+    numbers = rows.groupBy("key").agg(F.count("*").alias("members"), F.count_if("hub").alias("hubs")).where("hubs > 0")
+    shares = F.ceil(F.col("members") * F.col("hubs") / TASK_PAIRS)
+    shares = F.greatest(F.least(shares, F.col("hubs")), F.lit(1)).cast("int").alias("shares")
+    dealt = rows.join(numbers.select("key", shares), "key")
+    dealt = dealt.withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)))
+    mine = F.pmod(F.xxhash64("set_no"), F.col("shares")) == F.col("share")
+    dealt = dealt.select("key", "share", "set_no", "n", "label", (F.col("hub") & mine).alias("hub")).join(bitmaps, "set_no")
+    dealt = dealt.repartition("key", "share").sortWithinPartitions("key", "share", "n")
+    return dealt.mapInArrow(run, "a long, b long").distinct()
+
+
+def star_links(buckets: DataFrame, sets: DataFrame, percent: int, bitmaps: DataFrame) -> DataFrame:
+    """The same by stars alone, of pairs that ``bitmaps`` (set_no, bits) leave."""
     first = Window.partitionBy("key").orderBy(F.desc("weight"), "set_no")
     heaviest = buckets.groupBy("key").agg(F.max_by("set_no", F.struct("weight", -F.col("set_no"))).alias("set_no"))
-    rows, done, share = buckets, heaviest.select("key", "set_no"), GROWTH
+    done, share = stage(heaviest.select("key", "set_no"), "hubs"), 1
+    rows = buckets.withColumn("label", F.col("set_no"))
+    links = None
     while True:
+        hubs = done.withColumn("hub", F.lit(True))
+        marked = rows.join(hubs, ["key", "set_no"], "left").withColumn("hub", F.coalesce("hub", F.lit(False)))
+        found = stage(_confirmed(_met(marked, bitmaps, percent), sets, percent), "links")
+        links = links.unionByName(found) if links else found
         labels = components(links).withColumnRenamed("node", "set_no")
         rows = rows.select("key", "set_no", "n", "weight").join(done, ["key", "set_no"], "left_anti")
         rows = rows.join(labels, "set_no", "left").withColumn("label", F.coalesce("label", "set_no"))
-        groups = rows.groupBy("key", "label").agg(F.count("*").alias("members"))
-        largest = groups.groupBy("key").agg(F.max(F.struct("members", "label")).alias("most"), F.count("*").alias("groups"))
-        undecided = largest.where("groups > 1").select("key", F.col("most.label").alias("main"))
+        numbers = rows.groupBy("key", "label").agg(F.count("*").alias("members"))
+        largest = numbers.groupBy("key").agg(F.max(F.struct("members", "label")).alias("most"), F.count("*").alias("labels"))
+        undecided = largest.where("labels > 1").select("key", F.col("most.label").alias("main"))
         rows = stage(rows.join(undecided, "key"), "open-buckets")
+        share *= GROWTH
         hubs = rows.where("label <> main").withColumn("turn", F.row_number().over(first)).where(F.col("turn") <= share)
-        hub = [F.col(x).alias(y) for x, y in (("set_no", "hub"), ("n", "hub_n"), ("label", "hub_label"))]
-        hubs = stage(hubs.select("key", *hub), "hubs")
-        if hubs.isEmpty():
+        done = stage(hubs.select("key", "set_no"), "hubs")
+        if done.isEmpty():
             return links
-        met = rows.join(hubs, "key").where("label <> hub_label")
-        met = met.where(100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n"))
-        met = met.select(F.least("hub", "set_no").alias("a"), F.greatest("hub", "set_no").alias("b")).distinct()
-        links = links.unionByName(stage(_confirmed(met, sets, percent), "links"))
-        done, share = hubs.select("key", F.col("hub").alias("set_no")), share * GROWTH

@@ -9,8 +9,10 @@ where hashes collide the order is worse, but it is the same for all sets, so no
 The boundary is the size up to which a set's subsets cost less than its lists, at the length that a list has on average
 by the counted frequencies. Sets that can be linked across it take both ways.
 
-Equal sets are one class from the start. Lists are scanned by stars (see star_links), and links are confirmed on full
-sets. Lists that hold the same sets are scanned once.
+Equal sets are one class from the start. Lists are split by bitmaps (see there) before any full set is read: sets that
+may not be linked, by themselves or by a chain of others in their list, part there, and those which are alone then leave
+it. What remains is scanned by stars (see star_links), and links are confirmed on full sets. Lists that hold the same
+sets are scanned once.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodestone.llm.bitmaps import Bitmaps, bitmap, groups, parts
 from lodestone.llm.bucket_links import once, star_links
 from lodestone.llm.chunks import slices
 from lodestone.llm.common import small
@@ -44,6 +47,8 @@ SLOTS = 1 << 18
 LARGEST_LIGHT = 64
 #: Rows of a list beyond which its rows are not sorted into one task.
 HOT_ROWS = 20_000
+#: Sets of a list that are compared by their bitmaps in one task; longer lists are dealt in pairs of blocks.
+BLOCK_SETS = 4096
 
 _U = np.uint64
 
@@ -147,7 +152,8 @@ def list_length(frequency: np.ndarray) -> float:
 
 
 def signatures(docs: DataFrame, words: int, percent: int, frequency: np.ndarray) -> DataFrame:
-    """(doc_id, n_shingles, s1, s2, keys): the set's size, two sums that stand for its content, and its lists."""
+    """(doc_id, n_shingles, s1, s2, keys, bits): the set's size, two sums that stand for its content, its lists, and its
+    bitmap."""
     plan = Scheme(percent, list_length(frequency))
     shared = docs.sparkSession.sparkContext.broadcast(frequency)
 
@@ -162,12 +168,13 @@ def signatures(docs: DataFrame, words: int, percent: int, frequency: np.ndarray)
                     _signed(sets, 11),
                     _signed(sets, 12),
                     _as_lists([plan.keys(s, counted) for s in sets]),
+                    pa.array([bitmap(s).tobytes() for s in sets], pa.binary()),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "s1", "s2", "keys"])
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "s1", "s2", "keys", "bits"])
 
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, n_shingles long, s1 long, s2 long, keys array<long>")
+    return rows.mapInArrow(run, f"doc_id {kind}, n_shingles long, s1 long, s2 long, keys array<long>, bits binary")
 
 
 def _might_be(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -236,6 +243,45 @@ def _shared_lists(classes: DataFrame) -> DataFrame:
     return found if hot.isEmpty() else found.unionByName(lists.join(hot, "key", "left_semi"))
 
 
+def _alike_lists(rows: DataFrame, bitmaps: DataFrame, percent: int, block: int = BLOCK_SETS) -> DataFrame:
+    """``rows`` (key, set_no, n; a written table) of lists, split by ``bitmaps`` (set_no, bits): two sets of a list that
+    may be linked are in one list still, and sets that nobody in their list may be linked with are in none."""
+    names = ["key", "set_no", "n", "part"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, cuts in groups(batches, ["key", "i", "j"]):
+            key, set_no, n = (table.column(c).to_numpy() for c in names[:3])
+            bits = table.column("bits").to_pylist()
+            part = np.concatenate([a + parts(Bitmaps(n[a:b], bits[a:b], percent)) for a, b in zip(cuts, cuts[1:])])
+            kept = np.bincount(part)[part] > 1
+            yield pa.RecordBatch.from_arrays([pa.array(x[kept]) for x in (key, set_no, n, set_no[part])], names)
+
+    def split(placed: DataFrame) -> DataFrame:
+        """(key, set_no, n, part) of the sets of each (key, i, j)."""
+        marked = placed.join(bitmaps, "set_no").select("key", "i", "j", "set_no", "n", "bits")
+        dealt = marked.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "n")
+        return dealt.mapInArrow(run, "key long, set_no long, n long, part long")
+
+    blocks = F.ceil(F.count("*") / block).cast("int").alias("blocks")
+    long = stage(rows.groupBy("key").agg(blocks).where("blocks > 1"), "long-lists")
+    none = F.lit(0)
+    short = rows if long.isEmpty() else rows.join(long, "key", "left_anti")
+    found = split(short.select("key", none.alias("i"), none.alias("j"), "set_no", "n"))
+    found = found.select(F.xxhash64("key", "part").alias("key"), "set_no", "n")
+    if long.isEmpty():
+        return found
+    # every two blocks of a long list meet in a task, whose parts are joined to those of the list
+    rows = rows.join(long, "key").withColumn("own", F.pmod(F.xxhash64("set_no"), F.col("blocks")).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    rows = rows.select("key", "own", every, "set_no", "n")
+    rows = rows.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "set_no", "n")
+    pieces = stage(split(rows), "parts")
+    node = F.xxhash64("key", "set_no")
+    labels = components(pieces.select(node.alias("a"), F.xxhash64("key", "part").alias("b")))
+    members = pieces.select("key", "set_no", "n").distinct().withColumn("node", node)
+    return found.unionByName(members.join(labels, "node").select(F.col("label").alias("key"), "set_no", "n"))
+
+
 def _different_lists(rows: DataFrame) -> DataFrame:
     """``rows`` (key, set_no, n) without lists that hold the same sets as another, with the ``weight`` of each set: what
     its lists hold together."""
@@ -259,17 +305,20 @@ def ngram_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT
     """
     signed = stage(signatures(docs, words, percent, frequencies(docs, words)), "signatures")
     classes = signed.where("n_shingles > 0").groupBy("n_shingles", "s1", "s2")
-    classes = classes.agg(F.min("doc_id").alias("rep"), F.first("keys").alias("keys"))
+    classes = classes.agg(F.min("doc_id").alias("rep"), F.first("keys").alias("keys"), F.first("bits").alias("bits"))
     classes = stage(classes.withColumn("set_no", F.monotonically_increasing_id()), "classes")
     lists = _different_lists(stage(_shared_lists(classes), "shared-lists"))
-    plain = classes.drop("keys")
+    lists = stage(_alike_lists(lists.select("key", "set_no", "n"), classes.select("set_no", "bits"), percent), "alike-lists")
+    lists = _different_lists(lists)
+    plain = classes.drop("keys", "bits")
     wanted = plain.join(lists.select("set_no").distinct(), "set_no", "left_semi").select("set_no", "rep", "s1", "s2")
     sets = once(stage_bucketed(_sets(docs, stage(wanted, "wanted"), words), "set_no"))
-    labels = components(star_links(lists, sets, percent)).withColumnRenamed("node", "set_no")
+    links = star_links(lists, sets, percent, classes.select("set_no", "bits"))
+    labels = components(links).withColumnRenamed("node", "set_no")
     labelled = plain.join(labels, "set_no", "left").withColumn("label", F.coalesce("label", "set_no"))
     smallest = labelled.groupBy("label").agg(F.min("rep").alias("component_id"))
     labelled = labelled.join(smallest, "label").select("n_shingles", "s1", "s2", "component_id")
-    joined = signed.drop("keys").join(labelled, ["n_shingles", "s1", "s2"], "left")
+    joined = signed.drop("keys", "bits").join(labelled, ["n_shingles", "s1", "s2"], "left")
     own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return joined.select("doc_id", "n_shingles", own.alias("component_id"))
 

@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from lodestone.llm import bpe, ngram_join, sharding, substring_dedup, token_files
+from lodestone.llm import bitmaps, bpe, bucket_links, ngram_join, sharding, substring_dedup, token_files
 from lodestone.llm.chunks import chunks
 from lodestone.llm.common import table
 from lodestone.llm.components import components
+from lodestone.session import stage
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, n_shingles int, seed string, shard_no int, ids string"
@@ -93,6 +94,87 @@ def test_linked_sets_share_a_list(length):
                     assert len(np.intersect1d(plan.keys(one, frequency), plan.keys(other, frequency)))
 
 
+def random_sets(rng):
+    """Sets of several sizes, some of them alike."""
+    sets = []
+    for n in (1, 3, 20, 33, 70, 300, 3000):
+        for _ in range(4):
+            one = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+            sets.append(one)
+            for share in (0.02, 0.1, 0.3):
+                gone = int(share * n * rng.random())
+                sets.append(np.union1d(rng.permutation(one)[gone:], rng.integers(0, 2**63, gone).astype(np.uint64)))
+    return sorted(sets, key=len)
+
+
+def linked(one, other, percent):
+    both = len(np.intersect1d(one, other))
+    return 100 * both >= percent * (len(one) + len(other) - both)
+
+
+@pytest.mark.parametrize("percent", [50, 80, 90])
+def test_bitmaps_allow_all_links(percent):
+    sets = random_sets(np.random.default_rng(percent))
+    n = np.array([len(s) for s in sets])
+    maps = bitmaps.Bitmaps(n, [bitmaps.bitmap(s).tobytes() for s in sets], percent)
+    part, every, allowed, found = bitmaps.parts(maps), np.ones(len(sets), bool), 0, 0
+    for i in range(len(sets)):
+        near = set(maps.near(i, every))
+        links = {j for j in range(len(sets)) if linked(sets[i], sets[j], percent)}
+        assert links <= near and all(part[j] == part[i] for j in near)
+        allowed, found = allowed + len(near), found + len(links)
+    assert allowed < 1.5 * found
+
+
+@pytest.mark.parametrize("block", [10**6, 10])
+def test_lists_are_split_where_no_link_is(spark, block):
+    rng = np.random.default_rng(block)
+    sets = random_sets(rng)
+    lists = {key: sorted(rng.permutation(len(sets))[:size].tolist()) for key, size in enumerate((5, 9, 40, len(sets)))}
+    rows = [(key, i, len(sets[i])) for key, members in lists.items() for i in members]
+    rows = stage(spark.createDataFrame(rows, "key long, set_no long, n long"), "rows")
+    marks = spark.createDataFrame([(i, bytearray(bitmaps.bitmap(s).tobytes())) for i, s in enumerate(sets)], "set_no long, bits binary")
+    got = {}
+    for r in ngram_join._alike_lists(rows, marks, 80, block).collect():
+        assert r.n == len(sets[r.set_no])
+        got.setdefault(r.key, []).append(r.set_no)
+    assert all(len(x) == len(set(x)) > 1 for x in got.values())
+    assert max(map(len, got.values())) <= 4
+    for members in lists.values():
+        for i in members:
+            for j in members:
+                if i < j and linked(sets[i], sets[j], 80):
+                    assert any(i in x and j in x and set(x) <= set(members) for x in got.values())
+
+
+def test_few_sets_are_read(spark, monkeypatch):
+    """Of documents that share a passage, in lists of it as frequencies don't tell, only those with a link are read."""
+    monkeypatch.setattr(ngram_join, "frequencies", lambda docs, words: np.zeros(ngram_join.SLOTS, np.int64))
+    read = []
+    whole = ngram_join._sets
+    monkeypatch.setattr(ngram_join, "_sets", lambda docs, wanted, words: read.append(wanted.count()) or whole(docs, wanted, words))
+    rng = random.Random(6)
+    common = sentence(rng, 60)
+    rows = [(i, common + " " + sentence(rng, 60)) for i in range(80)]
+    rows += [(100 + i, rows[i][1] + " more") for i in range(3)]
+    got = ngram_join.ngram_components(docs_of(spark, rows), 3, 90).collect()
+    assert sorted(map(tuple, got), key=str) == brute_components(rows, 3, 90)
+    assert read[0] < 12
+
+
+@pytest.mark.parametrize("pairs", [20_000_000, 40])
+def test_chains_of_near_copies(spark, monkeypatch, pairs):
+    """Hubs of lists are linked with few of their members, and dealt over tasks."""
+    monkeypatch.setattr(bucket_links, "TASK_PAIRS", pairs)
+    rng = random.Random(2)
+    words, rows = sentence(rng, 60).split(" "), []
+    for i in range(60):
+        rows.append((i, " ".join(words)))
+        words[rng.randrange(60)] = f"new{i}"
+    got = ngram_join.ngram_components(docs_of(spark, rows), 3, 85).collect()
+    assert sorted(map(tuple, got), key=str) == brute_components(rows, 3, 85)
+
+
 def test_shared_lists_over_batches(spark):
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
     rng = random.Random(3)
