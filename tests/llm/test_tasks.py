@@ -288,6 +288,26 @@ def test_chains_after_a_long_passage(spark):
     assert {r.doc_id for r in got if r.start <= 600 and r.end >= 678} == set(range(16))
 
 
+def test_every_two_documents_of_a_passage(spark, monkeypatch):
+    """Documents that sort between two others and have parts of their passage don't part them; rows are the same for any blocks."""
+    rng = random.Random(15)
+    own = lambda n: sentence(rng, n)
+    rows, want = [], set()
+    for x in range(12):
+        words = own(60).split(" ")
+        rows += [(100 * x + y, f"{own(20)} {' '.join(words)} {own(20 + y)}") for y in range(5)]
+        rows += [(100 * x + 10 + y, f"{own(25)} {' '.join(words[at : at + 40])} {own(25)}") for y in range(8) for at in (0, 20)]
+        want |= {(100 * x + y, 100 * x + z) for y in range(5) for z in range(5) if y != z}
+    each = []
+    for words, matches in ((8_000_000, 1_000_000), (1500, 200)):
+        monkeypatch.setattr(substring_dedup, "BLOCK_WORDS", words, raising=False)
+        monkeypatch.setattr(substring_dedup, "STEP_MATCHES", matches, raising=False)
+        each.append(sorted(map(tuple, substring_dedup.shared_passages(docs_of(spark, rows)).collect())))
+    assert each[0] == each[1]
+    assert {(r[0], r[3]) for r in each[0] if r[0] % 100 < 10 and r[3] % 100 < 10} == want
+    assert all(r[1] <= 20 and r[2] >= 80 for r in each[0] if (r[0], r[3]) in want)
+
+
 def test_seed_neighbours_for_any_partitions(spark):
     """Each document of a seed meets the two before it, wherever the ranges of tasks begin."""
     rng = random.Random(6)
