@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestone.operators.blockmax import bm25_top_k
-from lodestone.operators.index import build_index
+from lodestone.operators import index as index_parts
+from lodestone.operators.index import build_index, impacts
 from lodestone.operators.rank import bm25, named_in, top_k
 from lodestone.sources import index_store
 from lodestone.sources.index_store import append_docs, compact_index, lookup_postings, read_index, write_index
@@ -152,3 +153,21 @@ def test_complete_rankings_are_shuffled_once(spark):
     got = sorted((r.query_id, r.rank, -r.score, r.doc_id) for r in ranked.collect())
     assert [(q, s, d) for q, _, s, d in got] == want
     assert [r for _, r, _, _ in got] == [i + 1 for q in range(3) for i in range(sum(w[0] == q for w in want))]
+
+
+def test_bounds_of_rarer_terms_are_not_dealt_again(zipf, tmp_path, monkeypatch):
+    """Each posting is a part of its block; only the blocks of frequent terms are grouped and dealt by range."""
+    dealt, whole = [], index_store._ranges
+    monkeypatch.setattr(index_store, "_ranges", lambda rows, size, *by: dealt.append(by) or whole(rows, size, *by))
+    monkeypatch.setattr(index_parts, "BLOCKS_PER_LENGTH", 4)
+    layouts = []
+    for name, most in (("rare", 3000), ("both", 200)):
+        monkeypatch.setattr(index_parts, "UNGROUPED_DOCS", most, raising=False)
+        write_index(zipf.where("doc_id % 5 > 0"), f"{tmp_path}/{name}", "simple", n_buckets=3)
+        index = append_docs(zipf.where("doc_id % 5 = 0"), f"{tmp_path}/{name}")
+        assert rows(index.impacts) == rows(impacts(index.postings, ["term", "block", "bucket"]).select(*index.impacts.columns))
+        layouts.append((dealt[:], index.block_impacts.count()))
+        dealt.clear()
+    postings, bounds = ("bucket", "term", "doc_id"), ("bucket", "term", "block")
+    assert [x for x, _ in layouts] == [[postings] * 2, [postings, bounds] * 2]
+    assert layouts[1][1] < layouts[0][1] == index.postings.count()

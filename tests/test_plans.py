@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lodestone import session
 from lodestone.operators.index import build_index
 from lodestone.operators.rank import bm25, candidates, known_query_terms, match_count, top_k
+from lodestone.operators.termstats import doc_terms
 from lodestone.session import scratch, stage, stage_bucketed
 from lodestone.sources import corpus, index_store
 from lodestone.sources.index_store import append_docs, write_index
@@ -201,3 +202,10 @@ def test_link_queries_are_those_of_every_fiftieth_page(spark, tmp_path):
     pages = spark.range(120).selectExpr("id AS page_id", "concat('<title>Page ', id, '</title>') AS html")
     pages.write.parquet(f"{tmp_path}/pages.parquet")
     assert sorted(map(tuple, _link_queries(spark, str(tmp_path)).collect())) == [(k, f"Page {k}") for k in (0, 50, 100)]
+
+
+def test_terms_are_counted_in_generated_code(spark, hot):
+    docs, _ = hot
+    lines = plan(doc_terms(docs, "simple")).splitlines()
+    assert any("*(" in line.split("Generate")[0] for line in lines if "Generate" in line)
+    assert sum("regexp_extract_all" in line for line in lines) == 1
